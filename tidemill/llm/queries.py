@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import mixing, postings
+from tidemill.llm import mixing, personal, postings
 from tidemill.llm.forest import repeats
 from tidemill.sources.tables import table
 
@@ -46,7 +46,19 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(_mix(spark, folder), table(spark, folder, "mix_targets"))
 
 
+def _entities(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.entities(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "name_parts"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _entities(spark, folder).select(F.col("doc").alias("doc_id"), "kind", "found_text").distinct()
+
+
+def p8_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.redacted(table(spark, folder, "documents"), "doc_id", "text", _entities(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p6_found, p6_proximity, p7_mix, p7_shares)
+    f.__name__: f for f in (p3_found, p6_found, p6_proximity, p7_mix, p7_shares, p8_found, p8_redacted)
 }
 SQL: dict[str, str] = {}
