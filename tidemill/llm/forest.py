@@ -13,6 +13,7 @@ times is one row of the forest; the pairs of its copies come from the membership
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 from functools import reduce
@@ -28,8 +29,9 @@ from tidemill.session import new_path, saved
 #: Labels of a text, min-hash values of a label, values that entries must share in any case (the branch by which runs are laid out).
 TREES, DEPTH, BRANCH = 16, 4, 2
 BITS = 16
-#: Of 64 values compared at two bits, so many agree in a pair at similarity 0.6 but for about 1 of 200,000; see the README.
-SKETCH_AGREE = 28
+#: Pairs at the threshold whose min-hash values agree, at two bits, this many standard deviations less than expected aren't
+#: verified: about 2 of 10,000 pairs exactly at the threshold, far fewer above it.
+SKETCH_DEVIATIONS = 3.5
 #: Candidates up to so many (8 bytes each) are broadcast to filter the texts; beyond, they are joined.
 BROADCAST_IDS = 2_000_000
 
@@ -42,6 +44,12 @@ def depth_for(threshold: float, recall: float) -> int:
     raise ValueError(f"recall {recall} at similarity {threshold} needs prefixes of under {BRANCH} values")
 
 
+def sketch_agreement(threshold: float) -> int:
+    """Of the TREES * DEPTH values, compared at two bits, how many must agree for a candidate pair to be verified."""
+    n, same = TREES * DEPTH, threshold + (1 - threshold) / 4
+    return math.floor(n * same - SKETCH_DEVIATIONS * math.sqrt(n * same * (1 - same)))
+
+
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     seeds = np.arange(1, 2 * TREES * DEPTH + 1, dtype=np.uint64)
     drawn = mixed(seeds * np.uint64(0x9E3779B97F4A7C15))
@@ -112,7 +120,7 @@ class Forest:
 
     def __init__(self, spark: SparkSession, run_words: int = 5, threshold: float = 0.8, recall: float = 0.975, most_runs: int = 8) -> None:
         self.spark, self.run_words, self.percent, self.most_runs = spark, run_words, round(100 * threshold), most_runs
-        self.depth = depth_for(threshold, recall)
+        self.depth, self.agree = depth_for(threshold, recall), sketch_agreement(threshold)
         self.tables: list[str] = []  # the sorted runs
         self.reps: list[DataFrame] = []  # (chain, d1, d2, rep)
         self.members: list[DataFrame] = []  # (uid, rep)
@@ -142,7 +150,7 @@ class Forest:
             apart = F.col("n.s1").bitwiseXOR(F.col("o.s1")).bitwiseOR(F.col("n.s2").bitwiseXOR(F.col("o.s2")))
             other = F.col("n.rep") < F.col("o.rep") if name == own else F.col("n.rep") != F.col("o.rep")
             # the prefix is no join key, so that the buckets serve as they are
-            near = (F.col("n.branch") == F.col("o.branch")) & (prefix == 0) & (F.bit_count(apart) <= TREES * DEPTH - SKETCH_AGREE) & other
+            near = (F.col("n.branch") == F.col("o.branch")) & (prefix == 0) & (F.bit_count(apart) <= TREES * DEPTH - self.agree) & other
             found.append(mine.join(there, near).select(F.least("n.rep", "o.rep").alias("rep_a"), F.greatest("n.rep", "o.rep").alias("rep_b")))
         return reduce(DataFrame.unionByName, found).distinct()
 
@@ -151,12 +159,12 @@ class Forest:
         wanted = saved(pairs.select(F.explode(F.array("rep_a", "rep_b")).alias("doc")).distinct(), "wanted")
         if wanted.count() <= BROADCAST_IDS:
             wanted = F.broadcast(wanted)
-        sets = saved(word_runs(texts.join(wanted, "doc", "left_semi").dropDuplicates(["doc"]), self.run_words), "sets")
+        sets = saved(word_runs(texts.join(wanted, "doc", "left_semi"), self.run_words), "sets")
         a = sets.select(F.col("doc").alias("rep_a"), F.col("runs").alias("_ra"))
         b = sets.select(F.col("doc").alias("rep_b"), F.col("runs").alias("_rb"))
         both = pairs.join(a, "rep_a").join(b, "rep_b").withColumn("_both", F.size(F.array_intersect("_ra", "_rb")))
         either = F.size("_ra") + F.size("_rb") - F.col("_both")
-        return both.where(F.col("_both") * 100 >= either * self.percent).select("rep_a", "rep_b")
+        return both.where(F.col("_both") * 100 >= either * self.percent).select("rep_a", "rep_b").distinct()
 
     def add(self, batch: DataFrame, accepted: DataFrame | None = None) -> DataFrame:
         """(uid_a, uid_b), uid_a < uid_b: the batch's texts that repeat one another or one accepted before.
