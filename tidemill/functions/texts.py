@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 UNTITLED = "(无标题)"
 #: Dollar amounts and amounts of a token.
@@ -97,7 +98,7 @@ def page_text(page: str | None) -> str:
     return "\n".join(line for line in lines if line)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def html_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for page in pages:
         yield page.map(page_text)

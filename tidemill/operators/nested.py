@@ -86,9 +86,15 @@ def merged_schema(records: DataFrame, variant: str) -> DataFrame:
     return bodies.mapInPandas(catalogue, "path string, kind string, n long").groupBy("path", "kind").agg(F.sum("n").alias("n"))
 
 
-def array_levels(schema: DataFrame, most: int = 10_000) -> list[str]:
-    """The paths where any record has an array, parents first. The list is of the schema's size; above `most` it is refused."""
-    found = [r["path"] for r in schema.where("kind = 'array'").select("path").distinct().limit(most + 1).collect()]
+def array_levels(schema: DataFrame, recursive: str | None = None, most: int = 10_000) -> list[str]:
+    """The paths where any record has an array, parents first; and paths of the field `recursive` that have objects.
+
+    The list is of the schema's size; above `most` it is refused.
+    """
+    listed = F.col("kind") == "array"
+    if recursive:
+        listed |= (F.col("kind") == "object") & F.col("path").endswith(f".{recursive}")
+    found = [r["path"] for r in schema.where(listed).select("path").distinct().limit(most + 1).collect()]
     if len(found) > most:
         raise ValueError(f"more than {most} array levels: names of fields seem to be data")
     return sorted(found, key=lambda p: (p.count("."), p))

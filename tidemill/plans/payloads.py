@@ -43,7 +43,7 @@ def children(payloads: DataFrame) -> DataFrame:
     are not read; other columns may have any names. An empty table gives no rows.
     """
     docs = readable(payloads)
-    levels = array_levels(merged_schema(docs, "doc"))
+    levels = array_levels(merged_schema(docs, "doc"), recursive="tags")
     parts = []
     up, node = F.col("_up"), F.col("_node")
 
