@@ -136,7 +136,8 @@ def resolve(values: DataFrame) -> DataFrame:
     spark = values.sparkSession
     shared_folder(spark)
     keys = ["_chain", "_arrived", "_id", "_value"]
-    ordered = with_readings(values).repartitionByRange(*keys).sortWithinPartitions(*keys).checkpoint()
+    # laid out first and read then: the sample for the ranges needs no readings
+    ordered = with_readings(values.repartitionByRange(*keys)).sortWithinPartitions(*keys).checkpoint()
     # at most two rows for each partition, whatever the number of records
     pieces = ordered.mapInArrow(_ends, "part int, chain string, ends string").collect()
     chosen = _joined([tuple(p) for p in pieces])
