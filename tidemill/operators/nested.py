@@ -7,12 +7,14 @@ table that carries its parent's surrogate key and the ordinal in the array.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import saved
+
 #: Kinds of JSON values in the merged schema.
 KINDS = "object, array, string, number, boolean, null"
 
@@ -100,23 +102,29 @@ def array_levels(schema: DataFrame, recursive: str | None = None, most: int = 10
     return sorted(found, key=lambda p: (p.count("."), p))
 
 
-def explode_levels(records: DataFrame, key: str, variant: str, levels: list[str]) -> dict[str, DataFrame]:
+def explode_levels(records: DataFrame, key: str, variant: str, levels: list[str], ids: dict[str, str] | None = None, kept: Sequence[str] = ()) -> dict[str, DataFrame]:
     """A table for each level, '' being the records themselves, parents before children in `levels`.
 
-    Columns: key, _sk (surrogate key: the place of the row in its record), _parent_sk, _ordinal (from 0),
-    _node (variant), _up (the parent's _node). A level's parent is the nearest level above it. Nulls, and
-    scalars where containers are usual, give no child rows; children that are no objects stay, as scalars.
-    Explodes are narrow: nothing is shuffled.
+    Columns: key, _sk (surrogate key: the place of the row in its record), _parent_sk, _ordinal (from 0), _node
+    (variant); with `ids`, the path of a row's own id by level, also _id and _parent_id, as text. A level's parent
+    is the nearest level above it. Nulls, and scalars where containers are usual, give no child rows; children that
+    are no objects stay, as scalars. Explodes are narrow: nothing is shuffled. The tables of the levels `kept` are
+    written to the shared folder, so that their children don't explode them again.
     """
-    tables = {
-        "": records.select(key, F.lit("$").alias("_sk"), F.lit(None).cast("string").alias("_parent_sk"), F.lit(0).alias("_ordinal"), F.col(variant).alias("_node"))
-    }
+
+    def own_id(level: str) -> Column:
+        path = (ids or {}).get(level)
+        return text_at(F.col("_node"), path) if path else F.lit(None).cast("string")
+
+    none = F.lit(None).cast("string")
+    tables = {"": records.select(key, F.lit("$").alias("_sk"), none.alias("_parent_sk"), F.lit(0).alias("_ordinal"), F.col(variant).alias("_node"), none.alias("_id"), none.alias("_parent_id"))}
     for level in levels:
         above = max((t for t in tables if t == "" or level.startswith(f"{t}.")), key=len)
         inner = level[len(above) + 1 :] if above else level
-        parent = tables[above].select(key, F.col("_sk").alias("_parent_sk"), F.col("_node").alias("_up"))
-        child = parent.select("*", F.posexplode(elements(at(F.col("_up"), inner))).alias("_ordinal", "_node"))
-        tables[level] = child.withColumn("_sk", F.concat("_parent_sk", F.lit(f".{inner}["), F.col("_ordinal").cast("string"), F.lit("]")))
+        parent = tables[above].select(key, F.col("_sk").alias("_parent_sk"), F.col("_id").alias("_parent_id"), F.posexplode(elements(at(F.col("_node"), inner))).alias("_ordinal", "_node"))
+        sk = F.concat("_parent_sk", F.lit(f".{inner}["), F.col("_ordinal").cast("string"), F.lit("]"))
+        child = parent.select(key, sk.alias("_sk"), "_parent_sk", "_ordinal", "_node", own_id(level).alias("_id"), "_parent_id")
+        tables[level] = saved(child, "level") if level in kept else child
     return tables
 
 

@@ -8,29 +8,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.nested import array_levels, document, explode_levels, merged_schema, text_at
+from tidemill.session import saved
 
-#: Levels that every payload of an endpoint has, whether its list is a list, one object or missing.
+#: Levels that every payload of an endpoint has, whether its list is a list, one object or missing, with the path of a row's id.
 LEVELS = {
-    "bingx_events_api": ["data.activityCenterInfoVos", "data.activityCenterInfoVos.tags"],
-    "lbank_events_loadingpage": [
-        "data", "data.attributionTagList", "data.taskInfoList", "data.taskInfoList.attributionTagList",
-        "data.taskInfoList.taskGroupList", "data.taskInfoList.taskGroupList.conditionList",
-    ],
-    "zoomex_menu": ["result", "result.titles"],
+    "bingx_events_api": {"data.activityCenterInfoVos": "activityId", "data.activityCenterInfoVos.tags": "id"},
+    "lbank_events_loadingpage": {
+        "data": "activityId", "data.attributionTagList": "id", "data.taskInfoList": "taskId", "data.taskInfoList.attributionTagList": "id",
+        "data.taskInfoList.taskGroupList": "groupId", "data.taskInfoList.taskGroupList.conditionList": "conditionId",
+    },
+    "zoomex_menu": {"result": "menu.id", "result.titles": "lang"},
 }
+#: The levels written as tables: those with children.
+KEPT = {level for own in LEVELS.values() for level in own if not level.endswith((".tags", ".conditionList", ".titles"))}
+#: Entities by level; a tag below a tag is a sub_tag.
+ENTITIES = {
+    "data.activityCenterInfoVos": "activity", "data.activityCenterInfoVos.tags": "activity_tag", "data": "event", "data.attributionTagList": "event_tag",
+    "data.taskInfoList": "task", "data.taskInfoList.attributionTagList": "task_tag", "data.taskInfoList.taskGroupList": "task_group",
+    "data.taskInfoList.taskGroupList.conditionList": "condition", "result": "menu", "result.titles": "menu_title",
+}
+#: Entities that hang on the payload itself.
+FIRST = ("activity", "event", "menu")
 #: Answers that are no errors.
 GOOD_CODES = ("0", "200")
 
 
-def number_at(node: Column, path: str) -> Column:
-    """An id as decimal text; null where it is missing or none."""
-    found = text_at(node, path)
+def number(found: Column) -> Column:
+    """An id as decimal text; null where it is none."""
     return F.when(found.rlike("^[0-9]+$"), found)
 
 
 def readable(payloads: DataFrame) -> DataFrame:
     """(payload_id, endpoint, doc): payloads that are valid JSON and no error answers, redelivered ones once."""
-    opened = payloads.where("payload_id is not null and body is not null").dropDuplicates(["payload_id", "endpoint", "body"])
+    opened = payloads.where("payload_id is not null and body is not null").where(F.col("endpoint").isin(*LEVELS)).dropDuplicates(["payload_id", "endpoint", "body"])
     opened = opened.select("payload_id", "endpoint", document(F.col("body")).alias("doc"))
     code = F.coalesce(text_at(F.col("doc"), "code"), text_at(F.col("doc"), "ret_code"), F.lit("0"))
     return opened.where(F.col("doc").isNotNull() & code.isin(*GOOD_CODES))
@@ -42,34 +52,25 @@ def children(payloads: DataFrame) -> DataFrame:
     Nulls, empty lists, unreadable bodies and error answers give no rows; payloads of other endpoints
     are not read; other columns may have any names. An empty table gives no rows.
     """
-    docs = readable(payloads)
+    docs = saved(readable(payloads), "payloads", ["endpoint"])  # parsed once, read by each level of its endpoint
     levels = array_levels(merged_schema(docs, "doc"), recursive="tags")
     parts = []
-    up, node = F.col("_up"), F.col("_node")
-
-    def rows(table: DataFrame, entity: str, parent: Column, child: Column) -> None:
-        found = table.select("payload_id", F.lit(entity).alias("entity"), parent.alias("parent_id"), child.alias("child_id"))
-        parts.append(found.where("parent_id is not null and child_id is not null"))
-
     for endpoint, own in LEVELS.items():
-        deep = [p for p in levels if any(p.startswith(f"{o}.") for o in own) and p not in own]
-        tables = explode_levels(docs.where(F.col("endpoint") == endpoint), "payload_id", "doc", sorted({*own, *deep}, key=lambda p: (p.count("."), p)))
-        if endpoint == "bingx_events_api":
-            rows(tables["data.activityCenterInfoVos"], "activity", F.lit(""), number_at(node, "activityId"))
-            rows(tables["data.activityCenterInfoVos.tags"], "activity_tag", number_at(up, "activityId"), number_at(node, "id"))
-        elif endpoint == "lbank_events_loadingpage":
-            rows(tables["data"], "event", F.lit(""), number_at(node, "activityId"))
-            rows(tables["data"], "event_start", number_at(node, "activityId"), number_at(node, "timeInfo.startTime"))
-            rows(tables["data.attributionTagList"], "event_tag", number_at(up, "activityId"), number_at(node, "id"))
-            rows(tables["data.taskInfoList"], "task", number_at(up, "activityId"), number_at(node, "taskId"))
-            rows(tables["data.taskInfoList.attributionTagList"], "task_tag", number_at(up, "taskId"), number_at(node, "id"))
-            rows(tables["data.taskInfoList.taskGroupList"], "task_group", number_at(up, "taskId"), number_at(node, "groupId"))
-            rows(tables["data.taskInfoList.taskGroupList.conditionList"], "condition", number_at(up, "groupId"), number_at(node, "conditionId"))
-            for level, table in tables.items():
-                if "attributionTagList." in level and level.endswith(".tags"):
-                    rows(table, "sub_tag", number_at(up, "id"), number_at(node, "id"))
-        else:
-            rows(tables["result"], "menu", F.lit(""), number_at(node, "menu.id"))
-            titled = F.when(text_at(node, "menuTitle").isNotNull(), text_at(node, "lang"))
-            rows(tables["result.titles"], "menu_title", number_at(up, "menu.id"), titled)
-    return reduce(DataFrame.unionByName, parts).distinct()
+        deep = {p: "id" for p in levels if p not in own and any(p.startswith(f"{o}.") for o in own)}
+        ids = own | deep
+        order = sorted(ids, key=lambda p: (p.count("."), p))
+        tables = explode_levels(docs.where(F.col("endpoint") == endpoint), "payload_id", "doc", order, ids, KEPT)
+        for level in order:
+            entity = ENTITIES.get(level) or ("sub_tag" if "attributionTagList." in level and level.endswith(".tags") else None)
+            if entity is None:
+                continue
+            rows = tables[level]
+            if entity == "menu_title":
+                rows = rows.where(text_at(F.col("_node"), "menuTitle").isNotNull())
+            parent = F.lit("") if entity in FIRST else number(F.col("_parent_id"))
+            child = F.col("_id") if entity == "menu_title" else number(F.col("_id"))
+            parts.append(rows.select("payload_id", F.lit(entity).alias("entity"), parent.alias("parent_id"), child.alias("child_id")))
+            if entity == "event":
+                start = number(text_at(F.col("_node"), "timeInfo.startTime"))
+                parts.append(rows.select("payload_id", F.lit("event_start").alias("entity"), number(F.col("_id")).alias("parent_id"), start.alias("child_id")))
+    return reduce(DataFrame.unionByName, parts).where("parent_id is not null and child_id is not null").distinct()

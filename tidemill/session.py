@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +25,17 @@ def local_session(cpus: int | str = 8, partitions: int = 8, app: str = "tidemill
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python once per application, wherever the driver imported it from."""
+    context = spark.sparkContext
+    if getattr(context, "_has_tidemill", False):
+        return
+    home = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='spark-')}/tidemill", "zip", home.parent, home.name)
+    context.addPyFile(archive)  # served by the driver
+    context._has_tidemill = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir; one of our own only where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,8 +51,8 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidemill/{label}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read again: cuts lineage and survives the loss of executors."""
+def saved(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """df written to the shared folder and read again: cuts lineage and survives the loss of executors. `by` partitions the files."""
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
