@@ -12,11 +12,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-UNTITLED = "(无标题)"
 #: Dollar amounts and amounts of a token.
 MONEY = r"\$[0-9][0-9,]*(?:\.[0-9]+)?|[0-9][0-9,]*(?:\.[0-9]+)? USDT"
 
-# ---- fixed values: tags and marks of parts that are no text, tags that end a line ---------------
+# ---- fixed values: stand-in for no title; tags and marks of parts that are no text, tags that end a line
+UNTITLED = "(无标题)"
 DROPPED = "script style nav header footer noscript iframe form button svg object embed".split()
 NOISE = "nav footer disclaimer cookie breadcrumb sidebar social-share site-menu".split()
 BLOCKS = "p div section article ul ol li table tr h1 h2 h3 h4 h5 h6 br blockquote pre hr".split()
