@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.words import plain_words, word_hashes
@@ -98,13 +98,24 @@ def shifted(postings: DataFrame, anchors: DataFrame) -> DataFrame:
     return each.join(anchors, "term").select(F.col("_p.docs").alias("doc"), "item", "place", (F.col("_p.positions") - F.col("place")).alias("shift"))
 
 
-def intersected(postings: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, item, shift, starts): stretches of `wanted` (see stretches) all of whose anchors a text has at one shift."""
-    each = wanted.select("item", "start", F.size("anchors").alias("_n"), F.explode("anchors").alias("_a"))
-    places = each.select("item", "start", "_n", F.col("_a.place").alias("place"))
-    hits = shifted(postings, each.select("item", F.col("_a.place").alias("place"), F.col("_a.term").alias("term")).distinct())
-    met = hits.join(places, ["item", "place"]).groupBy("doc", "item", "shift", "start", "_n").agg(F.count("*").alias("_met"))
-    return met.where("_met = _n and start + shift >= 0").groupBy("doc", "item", "shift").agg(F.collect_list("start").alias("starts"))
+def _bits(place: Column, half: int) -> Column:
+    """The bit of a place in the lower or upper half of 128; places of longer texts share bits."""
+    at = F.pmod(place, F.lit(128))
+    return F.when(F.floor(at / F.lit(64)) == half, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("long"))
+
+
+def intersected(postings: DataFrame, wanted: DataFrame, rarest: int = RAREST) -> DataFrame:
+    """(doc, item, shift): where a text has all anchors of a stretch of `wanted` (see stretches) at one shift.
+
+    The places met are kept as bits, so that one aggregation intersects the lists of all stretches. In test texts
+    of over 128 words places share bits, and some more than wanted are handed on.
+    """
+    each = wanted.select("item", "start", F.explode("anchors").alias("_a")).select("item", "start", F.col("_a.place").alias("place"), F.col("_a.term").alias("term"))
+    bits = [F.bit_or(_bits(F.col("place"), half)).alias(f"_b{half}") for half in (0, 1)]
+    masks = each.groupBy("item", "start").agg(*bits).groupBy("item").agg(F.collect_set(F.struct("_b0", "_b1")).alias("_masks"))
+    met = shifted(postings, each.select("item", "place", "term").distinct()).groupBy("doc", "item", "shift").agg(F.count("*").alias("_n"), *bits)
+    whole = F.exists("_masks", lambda m: (F.col("_b0").bitwiseAND(m["_b0"]) == m["_b0"]) & (F.col("_b1").bitwiseAND(m["_b1"]) == m["_b1"]))
+    return met.where(F.col("_n") >= rarest).join(masks, "item").where(whole).select("doc", "item", "shift")
 
 
 def _text_words(texts: DataFrame, key: str, text: str, name: str) -> DataFrame:
@@ -123,16 +134,16 @@ def phrases(postings: DataFrame, texts: DataFrame, key: str, text: str, items: D
     null keys and null texts neither; repeated rows count once.
     """
     words = with_frequencies(test_words(items, item_key, item_text), postings)
-    met = saved(intersected(postings, stretches(words, length)), "met")
+    rarest = min(RAREST, length)
+    met = saved(intersected(postings, stretches(words, length, rarest), rarest), "met")
     docs = met.select("doc").distinct()
     ids = F.broadcast(docs) if met.count() <= BROADCAST_IDS else docs
     found_in = texts.where(F.col(text).isNotNull()).join(ids.withColumn("_id", F.col("doc")), F.col(key).cast("long") == F.col("_id"), "left_semi")
     own = _text_words(found_in, key, text, "doc")
     tested = _text_words(items, item_key, item_text, "item")
-    same = F.exists(
-        "starts",
-        lambda s: F.slice("doc_words", s + F.col("shift") + 1, F.lit(length)) == F.slice("item_words", s + 1, F.lit(length)),
-    )
+    last = F.least(F.size("item_words"), F.size("doc_words") - F.col("shift")) - length  # the last place where a stretch may start
+    starts = F.when(last >= F.greatest(F.lit(0), -F.col("shift")), F.sequence(F.greatest(F.lit(0), -F.col("shift")), last))
+    same = F.exists(starts, lambda s: F.slice("doc_words", s + F.col("shift") + 1, F.lit(length)) == F.slice("item_words", s + 1, F.lit(length)))
     return met.join(own, "doc").join(tested, "item").where(same).select("doc", "item").distinct()
 
 
