@@ -123,3 +123,31 @@ def test_stream_takes_each_delivery_once(spark, tmp_path):
     assert spark.read.parquet(store.history_path).count() == 1
     store.take(spark.createDataFrame([("c", "z", "3")], schema), 0)  # taken already
     assert store.state().count() == 2
+
+
+def test_classified(spark):
+    from tidemill.operators import classify
+
+    rows = spark.createDataFrame([("1", "S", "a", "x"), ("2", "S", "b", "Now DELISTING this"), ("3", "S", "b", "relisted"), ("4", "S", "z", "list of 下架"), ("5", None, "a", None)], "k string, source string, raw string, title string")
+    mapping = spark.createDataFrame([("S", "a", "listing"), ("S", "b", "other")], "source string, raw string, category string")
+    got = {r.k: (r.layer, r.found_category) for r in classify.classified(rows, ["source", "raw"], "title", mapping, {"delisting": ["delisting", "下架"], "listing": ["list"]}).collect()}
+    assert got == {"1": ("native", "listing"), "2": ("keyword", "delisting"), "3": ("native_other", "other"), "4": ("keyword", "delisting"), "5": ("unmapped", None)}
+    usual = spark.createDataFrame([("S", "x"), ("S", "y"), ("S", "y"), ("T", "b"), ("T", "a"), (None, "a")], "source string, category string")
+    assert {r.source: r.category for r in classify.usual_mapping(usual, ["source"], "category").collect()} == {"S": "y", "T": "a"}
+
+
+def test_landing_and_exports(spark, tmp_path):
+    from tidemill.plans.payloads import children
+    from tidemill.sources.landing import captured, export_csv, export_json, since
+
+    (tmp_path / "in" / "day").mkdir(parents=True)
+    (tmp_path / "in" / "day" / "a.json").write_text('{"data": {"activityCenterInfoVos":\n [{"activityId": 7}]}}')
+    (tmp_path / "in" / "b.json").write_text("")
+    rows = captured(spark, str(tmp_path / "in"), "bingx_events_api")
+    assert [tuple(r)[1:] for r in children(rows).collect()] == [("activity", "", "7")]
+    table = spark.createDataFrame([("a", None, "2026"), ("b", "2024", "2026"), ("c", "", ""), ("d", "", "2025")], "k string, u string, p string")
+    assert {r.k: r.kept for r in since(table, "u", "p", "2025").collect()} == {"a": True, "b": False, "c": False, "d": True}
+    nested = table.select("k", F.array("u", "p").alias("list"))
+    export_json(nested, str(tmp_path / "j"))
+    export_csv(nested, str(tmp_path / "c"))
+    assert spark.read.json(str(tmp_path / "j")).count() == 4 and spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "c")).where("list like '[%'").count() == 4

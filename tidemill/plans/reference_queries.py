@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions import keys, texts
-from tidemill.operators import groups, ingest, ranges, retrieval
+from tidemill.operators import classify, groups, ingest, ranges, retrieval
+from tidemill.sources.landing import since
 from tidemill.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -397,3 +398,67 @@ def rule_violations(spark: SparkSession, folder: str) -> DataFrame:
 def event_days(spark: SparkSession, folder: str) -> DataFrame:
     own = table(spark, folder, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type")
     return own.agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("n_users"), F.round(F.sum("value"), 4).alias("total"))
+
+
+# ---- rules --------------------------------------------------------------------------------------
+
+#: Words of titles by category, in order of precedence.
+RULES = {"delisting": ["delist", "delisting", "removed", "removal", "下架"], "listing": ["listing", "listed", "list", "lists", "arrives"], "campaign": ["race", "win", "share"]}
+_WORDS = "' ' || regexp_replace(lower(coalesce(title, '')), '[^a-z0-9]+', ' ', 'g') || ' '"
+_RULED = (
+    f"{_ONE}, d as (select distinct uid, source, raw_category, category, title from a), "
+    "n as (select source, raw_category, category, count(*) n from d where source is not null and raw_category is not null and category is not null group by all), "
+    "m as (select source, raw_category, category as mapped from n qualify row_number() over (partition by source, raw_category order by n desc, category) = 1), "
+    f"w as (select d.*, mapped, {_WORDS} t, lower(coalesce(title, '')) low from d left join m on m.source = d.source and m.raw_category = d.raw_category), "
+    "k as (select *, case when t like '% delist %' or t like '% delisting %' or t like '% removed %' or t like '% removal %' or low like '%下架%' then 'delisting' "
+    "when t like '% listing %' or t like '% listed %' or t like '% list %' or t like '% lists %' or t like '% arrives %' then 'listing' "
+    "when t like '% race %' or t like '% win %' or t like '% share %' then 'campaign' end word from w), "
+    "r as (select uid, case when mapped <> 'other' then 'native' when word is not null then 'keyword' when mapped = 'other' then 'native_other' else 'unmapped' end layer, "
+    "case when mapped <> 'other' then mapped else coalesce(word, mapped) end found_category from k) "
+)
+
+
+def _classified(spark: SparkSession, folder: str) -> DataFrame:
+    a = _announcements(spark, folder, "source", "raw_category", "category", "title")
+    return classify.classified(a, ["source", "raw_category"], "title", classify.usual_mapping(a, ["source", "raw_category"], "category"), RULES)
+
+
+@query(_RULED + "select uid, layer, found_category from r")
+def classified_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _classified(spark, folder).select("uid", "layer", "found_category")
+
+
+@query(_RULED + "select layer, count(*) n, round(100.0 * count(*) / sum(count(*)) over (), 6) percent from r group by layer")
+def layer_shares(spark: SparkSession, folder: str) -> DataFrame:
+    counts = _classified(spark, folder).groupBy("layer").agg(F.count("*").alias("n"))
+    whole = counts.agg(F.sum("n").alias("_all"))  # one row
+    return counts.join(F.broadcast(whole)).select("layer", "n", F.round(F.lit(100.0) * F.col("n") / F.col("_all"), 6).alias("percent"))
+
+
+@query(
+    "select source, count(*) filter (where coalesce(t >= '2026-01-01', false)) kept, count(*) filter (where not coalesce(t >= '2026-01-01', false)) skipped "
+    "from (select source, coalesce(nullif(update_time, ''), nullif(post_time, '')) t from announcements) group by source"
+)
+def lookback_counts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = since(table(spark, folder, "announcements"), "update_time", "post_time", "2026-01-01")
+    return rows.groupBy("source").agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("skipped"))
+
+
+_SOURCES = ["Bitunix", "Weex", "BingX", "Phemex", "Lbank", "Zoomex"]
+
+
+@query(f"{_ONE} select category, " + ", ".join(f"count(distinct case when source = '{s}' then uid end) as {s.lower()}" for s in _SOURCES) + " from a where category is not null group by category")
+def category_by_source(spark: SparkSession, folder: str) -> DataFrame:
+    a = _announcements(spark, folder, "category", "source").where("category is not null")
+    wide = a.groupBy("category").pivot("source", _SOURCES).agg(F.count_distinct("uid"))
+    return wide.select("category", *[F.coalesce(s, F.lit(0)).alias(s.lower()) for s in _SOURCES])
+
+
+@query(
+    f"{_ONE}, l as (select uid, max(id) last_id, count(*) n_captures from content_history where uid is not null and id is not null group by uid) "
+    "select distinct a.uid, last_id, coalesce(n_captures, 0) n_captures from a left join l on l.uid = a.uid where lower(trim(status)) = 'changed'"
+)
+def changed_with_archive(spark: SparkSession, folder: str) -> DataFrame:
+    a = _announcements(spark, folder, "status").where(F.lower(F.trim("status")) == "changed").select("uid").distinct()
+    last = table(spark, folder, "content_history").where("id is not null").groupBy("uid").agg(F.max("id").alias("last_id"), F.count("*").alias("n_captures"))
+    return a.join(last, "uid", "left").select("uid", "last_id", F.coalesce("n_captures", F.lit(0)).alias("n_captures"))
