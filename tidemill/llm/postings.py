@@ -78,9 +78,15 @@ def test_words(items: DataFrame, key: str, text: str) -> DataFrame:
     return saved(own.mapInPandas(cut, "item long, place int, word string, term long"), "items")
 
 
+def _at_hand(terms: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """Distinct terms, broadcast if they are no more than `most`, so that the index stays where it is."""
+    terms = terms.select("term").distinct()
+    return F.broadcast(terms) if terms.count() <= most else terms
+
+
 def with_frequencies(words: DataFrame, postings: DataFrame) -> DataFrame:
     """The test words with n_docs, the number of texts that have the term (0 where none has)."""
-    counted = postings.select("term", "n_docs").join(words.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum("n_docs").alias("n_docs"))
+    counted = postings.select("term", "n_docs").join(_at_hand(words), "term", "left_semi").groupBy("term").agg(F.sum("n_docs").alias("n_docs"))
     return words.join(counted, "term", "left").withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
 
 
@@ -93,7 +99,7 @@ def stretches(counted: DataFrame, length: int, rarest: int = RAREST) -> DataFram
 
 def shifted(postings: DataFrame, anchors: DataFrame) -> DataFrame:
     """(doc, item, place, shift): the postings of the anchors (item, place, term), shift being position less place."""
-    lists = postings.join(anchors.select("term").distinct(), "term", "left_semi")
+    lists = postings.join(_at_hand(anchors), "term", "left_semi")
     each = lists.select("term", F.explode(F.arrays_zip("docs", "positions")).alias("_p"))
     return each.join(anchors, "term").select(F.col("_p.docs").alias("doc"), "item", "place", (F.col("_p.positions") - F.col("place")).alias("shift"))
 
@@ -135,7 +141,8 @@ def phrases(postings: DataFrame, texts: DataFrame, key: str, text: str, items: D
     """
     words = with_frequencies(test_words(items, item_key, item_text), postings)
     rarest = min(RAREST, length)
-    met = saved(intersected(postings, stretches(words, length, rarest), rarest), "met")
+    wanted = saved(stretches(words, length, rarest), "stretches")
+    met = saved(intersected(postings, wanted, rarest), "met")
     docs = met.select("doc").distinct()
     ids = F.broadcast(docs) if met.count() <= BROADCAST_IDS else docs
     found_in = texts.where(F.col(text).isNotNull()).join(ids.withColumn("_id", F.col("doc")), F.col(key).cast("long") == F.col("_id"), "left_semi")
@@ -155,6 +162,7 @@ def proximities(postings: DataFrame, items: DataFrame, item_key: str, item_text:
     words = with_frequencies(test_words(items, item_key, item_text), postings).where("n_docs > 0")
     by_rarity = Window.partitionBy("item").orderBy("n_docs", "place")
     anchors = words.withColumn("_r", F.row_number().over(by_rarity)).where(F.col("_r") <= terms).select("item", "place", "term")
+    anchors = saved(anchors, "anchors")
     grids = F.array(*[F.struct(F.lit(g).alias("grid"), F.floor((F.col("shift") + g * slack) / F.lit(2 * slack)).alias("cell")) for g in (0, 1)])
     hits = shifted(postings, anchors).select("doc", "item", "place", F.explode(grids).alias("_c"))
     near = hits.groupBy("doc", "item", "_c").agg(F.count_distinct("place").alias("n_terms")).where(F.col("n_terms") >= least)
