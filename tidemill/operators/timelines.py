@@ -17,7 +17,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemill.functions.times import BACKWARD, SWITCH, Reading, readings
 from tidemill.session import shared_folder
