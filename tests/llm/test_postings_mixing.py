@@ -57,6 +57,18 @@ def test_proximity(spark):
     assert [(r.doc, r.item) for r in postings.proximities(postings.index(docs, "doc_id", "text"), items, "item_id", "text").collect()] == [(1, 1)]
 
 
+def test_proximity_meets_every_part(spark):
+    """A part that leaked often has frequent terms, one that leaked once has few of the item's rarest; both are met."""
+    part = {n: " ".join(f"{n}{i}" for i in range(14)) for n in "abcde"}
+    items = spark.createDataFrame([(1, " ".join(part.values())), (2, None), (3, "a0 a1")], "item_id long, text string")
+    often = [(n, f"w{n} " * 5 + part["b"]) for n in range(40)]
+    loose = part["d"].replace("d7", "d7 and then").replace("d3", "d3 x")
+    docs = [*often, (50, part["d"]), (51, loose), (52, " ".join(reversed(part["d"].split()))), (53, "c1 " + "x " * 30 + "c2 c3 c4"), (54, " ".join(part.values())), (55, None)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    found = postings.proximities(postings.index(docs, "doc_id", "text"), items, "item_id", "text").collect()
+    assert sorted((r.doc, r.item, r.n_terms) for r in found) == [*((n, 1, 8) for n in range(40)), (50, 1, 8), (51, 1, 8), (54, 1, 8)]
+
+
 SIZED, TARGETS = "key long, source string, n_tokens long", "source string, target_share double, max_repeats int"
 
 

@@ -154,16 +154,63 @@ def phrases(postings: DataFrame, texts: DataFrame, key: str, text: str, items: D
     return met.join(own, "doc").join(tested, "item").where(same).select("doc", "item").distinct()
 
 
-def proximities(postings: DataFrame, items: DataFrame, item_key: str, item_text: str, terms: int = 8, least: int = 6, slack: int = 4) -> DataFrame:
-    """(doc, item, n_terms): texts with at least `least` of a test text's `terms` rarest terms at nearly the places they have there.
+def anchor_sets(counted: DataFrame, length: int, most: int) -> DataFrame:
+    """(item, sets): the places of the `most` rarest terms of each stretch of `length` words of a test text, of twice, four times as many and so on up to the whole; rarest first."""
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for item, rarest in zip(batch["item"], batch["rarest"]):
+                places = [r["place"] for r in rarest]
+                last, size, found = max(places), length, set()
+                while size < 2 * length or size < 2 * (last + 1):
+                    found |= {tuple([p for p in places if start <= p < start + size][:most]) for start in range(max(0, last + 1 - size) + 1)}
+                    size *= 2
+                rows.append((item, [list(f) for f in sorted(found) if f]))
+            yield pd.DataFrame(rows, columns=["item", "sets"])
+
+    own = counted.where("n_docs > 0").groupBy("item").agg(F.sort_array(F.collect_set(F.struct("n_docs", "place"))).alias("rarest"))
+    return saved(own.mapInPandas(cut, "item long, sets array<array<int>>"), "sets")
+
+
+def proximities(postings: DataFrame, items: DataFrame, item_key: str, item_text: str, terms: int = 8, least: int = 6, slack: int = 4, length: int = 12) -> DataFrame:
+    """(doc, item, n_terms): texts with at least `least` of the `terms` rarest terms of a stretch of a test text at nearly the places they have there.
+
+    Stretches are those of anchor_sets, so that a leak of any part is met by terms of its own. n_terms is that of the stretch met best.
     The shifts of the terms met lie within `slack` words of each other or a little more, up to twice as much.
+
+    A text with `least` of `terms` lacks `terms - least` at most, so it has two of the `terms - least + 2` rarest: texts are looked up
+    by these, and the lists of the frequent terms are read for the texts found only.
     """
-    words = with_frequencies(test_words(items, item_key, item_text), postings).where("n_docs > 0")
-    by_rarity = Window.partitionBy("item").orderBy("n_docs", "place")
-    anchors = words.withColumn("_r", F.row_number().over(by_rarity)).where(F.col("_r") <= terms).select("item", "place", "term")
-    anchors = saved(anchors, "anchors")
+    two = min(2, least)
+    words = saved(with_frequencies(test_words(items, item_key, item_text), postings).where("n_docs > 0"), "known")
+    sets = anchor_sets(words, length, terms)
     grids = F.array(*[F.struct(F.lit(g).alias("grid"), F.floor((F.col("shift") + g * slack) / F.lit(2 * slack)).alias("cell")) for g in (0, 1)])
-    hits = shifted(postings, anchors).select("doc", "item", "place", F.explode(grids).alias("_c"))
-    near = hits.groupBy("doc", "item", "_c").agg(F.count_distinct("place").alias("n_terms")).where(F.col("n_terms") >= least)
-    return near.groupBy("doc", "item").agg(F.max("n_terms").alias("n_terms"))
+
+    def anchors(of: Column) -> DataFrame:
+        places = sets.select("item", F.explode(F.array_distinct(F.flatten(of))).alias("place"))
+        return saved(words.join(places, ["item", "place"]).select("item", "place", "term"), "anchors")
+
+    def cells(hits: DataFrame) -> DataFrame:
+        return hits.select("doc", "item", "place", F.explode(grids).alias("_c")).groupBy("doc", "item", "_c")
+
+    first = F.filter(F.transform("sets", lambda s: F.slice(s, 1, terms - least + two)), lambda s: F.size(s) >= two)
+    bits = [F.bit_or(_bits(F.col("place"), half)).alias(f"_b{half}") for half in (0, 1)]
+    mask = lambda s, half: F.aggregate(s, F.lit(0).cast("long"), lambda b, p: b.bitwiseOR(_bits(p, half)))
+    masks = sets.select("item", F.array_distinct(F.transform(first, lambda s: F.struct(mask(s, 0).alias("b0"), mask(s, 1).alias("b1")))).alias("_masks"))
+    shared = F.exists("_masks", lambda m: F.bit_count(F.col("_b0").bitwiseAND(m["b0"])) + F.bit_count(F.col("_b1").bitwiseAND(m["b1"])) >= two)
+    near = cells(shifted(postings, anchors(first))).agg(F.min("place").alias("_low"), F.max("place").alias("_high"), *bits)
+    # places 128 apart and more may share a bit: whatever spans so much is handed on
+    near = near.where(F.lit(two < 2) | (F.col("_low") < F.col("_high"))).join(masks, "item").where(shared | (F.col("_high") - F.col("_low") >= 128))
+    met = saved(near.select("doc", "item").distinct(), "near")
+
+    def at_hand(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+    every = anchors(F.col("sets"))
+    lists = postings.join(_at_hand(every), "term", "left_semi").select("term", F.explode(F.arrays_zip("docs", "positions")).alias("_p"))
+    found = lists.select("term", F.col("_p.docs").alias("doc"), F.col("_p.positions").alias("_at")).join(at_hand(met), "doc")
+    hits = found.join(at_hand(every), ["item", "term"]).select("doc", "item", "place", (F.col("_at") - F.col("place")).alias("shift"))
+    full = cells(hits).agg(F.collect_set("place").alias("_places")).where(F.size("_places") >= least).join(at_hand(sets), "item")
+    most = F.array_max(F.transform("sets", lambda s: F.size(F.array_intersect(s, "_places")))).cast("long")
+    return full.groupBy("doc", "item").agg(F.max(most).alias("n_terms")).where(F.col("n_terms") >= least)
