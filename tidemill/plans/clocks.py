@@ -39,3 +39,14 @@ def utc_times(announcements: DataFrame, clocks: DataFrame) -> DataFrame:
         .select(F.col("_id").alias("uid"), F.substring_index("_chain", "|", -1).alias("field_name"), iso(F.col("at")).alias("utc_time"))
         .distinct()
     )
+
+
+def with_instants(announcements: DataFrame, clocks: DataFrame) -> DataFrame:
+    """The announcements with post_time_utc and update_time_utc, the instants of FIELDS in the one form; null where a value names none."""
+    rows = announcements.withColumn("_uid", F.coalesce("uid", F.lit("")))
+    found = resolve(written_times(rows.withColumn("uid", F.col("_uid")), clocks)).groupBy("_chain", "_id", "_value").agg(F.min("at").alias("at"))
+    for f in FIELDS:
+        chain = F.concat_ws("|", F.coalesce("source", F.lit("")), F.coalesce("locale", F.lit("")), F.lit(f))
+        own = found.select(F.col("_chain").alias("_c"), F.col("_id").alias("_i"), F.col("_value").alias("_v"), iso(F.col("at")).alias(f"{f}_utc"))
+        rows = rows.join(own, (F.col("_uid") == F.col("_i")) & (F.col(f) == F.col("_v")) & (chain == F.col("_c")), "left").drop("_c", "_i", "_v")
+    return rows.drop("_uid")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import keys, texts
 from tidemill.operators import classify, groups, ingest, ranges, retrieval
+from tidemill.plans.clocks import with_instants
 from tidemill.sources.landing import since
 from tidemill.sources.tables import table
 
@@ -117,6 +118,13 @@ def exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return groups.duplicates(a, "uid", _SAME, F.coalesce("post_time", "fetched_at", F.lit("")))
 
 
+@query()
+def exact_duplicates_by_instant(spark: SparkSession, folder: str) -> DataFrame:
+    """As exact_duplicates, but the first of the copies is found by the instant of post_time; one that names none counts as missing."""
+    a = with_instants(table(spark, folder, "announcements"), table(spark, folder, "source_clocks")).where("uid is not null and content <> ''")
+    return groups.duplicates(a, "uid", _SAME, F.coalesce("post_time_utc", "fetched_at", F.lit("")))
+
+
 @query(
     f"{_ONE} select source, raw_category, count(distinct group_id) n, string_agg(distinct group_id, ',' order by group_id) found from a "
     "where group_id is not null group by all having count(distinct group_id) > 1"
@@ -444,6 +452,14 @@ def lookback_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("source").agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("skipped"))
 
 
+@query()
+def lookback_counts_by_instant(spark: SparkSession, folder: str) -> DataFrame:
+    """As lookback_counts, but of the instants that update_time and post_time name; one that names none counts as missing."""
+    own = with_instants(table(spark, folder, "announcements"), table(spark, folder, "source_clocks"))
+    rows = since(own, "update_time_utc", "post_time_utc", "2026-01-01T00:00:00Z")
+    return rows.groupBy("source").agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("skipped"))
+
+
 _SOURCES = ["Bitunix", "Weex", "BingX", "Phemex", "Lbank", "Zoomex"]
 
 
