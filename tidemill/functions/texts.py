@@ -20,6 +20,13 @@ UNTITLED = "(无标题)"
 DROPPED = "script style nav header footer noscript iframe form button svg object embed".split()
 NOISE = "nav footer disclaimer cookie breadcrumb sidebar social-share site-menu".split()
 BLOCKS = "p div section article ul ol li table tr h1 h2 h3 h4 h5 h6 br blockquote pre hr".split()
+#: Words that are no terms: grammar, and words that any announcement may have.
+STOP = """
+a an and are as at be by can for from has have in into is it its may more no not of on or per than that the their then
+there this to up use used using via was were will with without you your users user trading trade traders trader feature
+features platform service services account accounts available support supports supported new now official officially
+launch launches live update updates please click also
+""".split()
 EMPTY = "br hr img input meta link area base col embed source track wbr".split()
 # -------------------------------------------------------------------------------------------------
 
@@ -50,6 +57,12 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]{2,}"), F.lit(0)))
 
 
+def telling_terms(text: Column) -> Column:
+    """array of the distinct runs of two or more ASCII letters, digits and Chinese characters, lower case, without those in STOP."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(r"[A-Za-z0-9\u4e00-\u9fff]{2,}"), F.lit(0)), F.lower)
+    return F.array_except(found, F.array(*[F.lit(w) for w in STOP]))
+
+
 def slug(url: Column) -> Column:
     """What follows /announcements/ in a URL, without query, fragment and outer slashes; null where there is none."""
     found = F.regexp_replace(F.regexp_extract(url, "/announcements/([^?#]+)", 1), "^/+|/+$", "")

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.texts import terms
 
 
-def recall(queries: DataFrame, query: str, query_text: str, rows: DataFrame, key: str, text: str, most: int) -> DataFrame:
+def recall(queries: DataFrame, query: str, query_text: str, rows: DataFrame, key: str, text: str, most: int, of: Callable[[Column], Column] = terms) -> DataFrame:
     """(query, key, score, rank): for each query the `most` rows that share most terms with it, at least one; ties by key.
 
-    Terms are exploded and joined on equality; each pair is counted by partial aggregation.
+    `of` gives the distinct terms of a text. Terms are exploded and joined on equality; each pair is counted by partial aggregation.
     """
-    q = queries.select(F.col(query).alias("_q"), F.explode(terms(F.col(query_text))).alias("_term"))
-    r = rows.select(F.col(key).alias("_k"), F.explode(terms(F.col(text))).alias("_term"))
+    q = queries.select(F.col(query).alias("_q"), F.explode(of(F.col(query_text))).alias("_term"))
+    r = rows.select(F.col(key).alias("_k"), F.explode(of(F.col(text))).alias("_term"))
     scored = q.join(r.distinct(), "_term").groupBy("_q", "_k").agg(F.count("*").alias("score"))
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("score"), "_k")))
     return ranked.where(F.col("rank") <= most).select(F.col("_q").alias(query), F.col("_k").alias(key), "score", "rank")

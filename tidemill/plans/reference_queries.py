@@ -304,6 +304,13 @@ def term_recall(spark: SparkSession, folder: str) -> DataFrame:
     return retrieval.recall(items, "item_id", "text", _announcements(spark, folder, "title"), "uid", "title", 4)
 
 
+@query()
+def telling_term_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """As term_recall, with the reference's terms: Chinese ones too, and no stop words."""
+    items = table(spark, folder, "eval_items").where("text is not null")
+    return retrieval.recall(items, "item_id", "text", _announcements(spark, folder, "title"), "uid", "title", 4, texts.telling_terms)
+
+
 # ---- deliveries and state -----------------------------------------------------------------------
 
 _CAPTURES = (
