@@ -15,6 +15,10 @@ from pyspark.sql.types import StringType
 #: Dollar amounts and amounts of a token.
 MONEY = r"\$[0-9][0-9,]*(?:\.[0-9]+)?|[0-9][0-9,]*(?:\.[0-9]+)? USDT"
 
+#: Amounts as the reference reads them: signs with or without a blank, thousands and millions, tokens in any case.
+BLANK = r"[\s\x1c-\x1f]"
+AMOUNTS = rf"(?iuU)[$€¥]{BLANK}?[\d,.]+(?:{BLANK}?[KM])?|[\d,.]+{BLANK}?(?:USDT|USDC|BTC|ETH|WXT|STABLE|EDGE)"
+
 # ---- fixed values: stand-in for no title; tags and marks of parts that are no text, tags that end a line
 UNTITLED = "(无标题)"
 DROPPED = "script style nav header footer noscript iframe form button svg object embed".split()
@@ -42,6 +46,28 @@ def same_title(title: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(F.coalesce(title, F.lit("")), r"[ \t\r\n]+", " ")))
 
 
+def _shown(title: str | None) -> str:
+    return html.unescape(re.sub(r"<[^>]+>", "", title or "")).strip() or UNTITLED
+
+
+def _folded(title: str | None) -> str:
+    return re.sub(r"\s+", " ", (title or "").strip()).casefold()
+
+
+@F.pandas_udf(StringType())
+def shown_title(titles: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """As clean_title, with entities decoded."""
+    for title in titles:
+        yield title.map(_shown)
+
+
+@F.pandas_udf(StringType())
+def folded_title(titles: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """As same_title, of all kinds of blanks and with case folded."""
+    for title in titles:
+        yield title.map(_folded)
+
+
 def sentences(text: Column) -> Column:
     """array of the sentences: parted after . ! ? and blanks, and at line breaks; blank ones left out."""
     return F.filter(F.split(text, r"(?<=[.!?。！？])[ \t\r\n]+|\n+"), lambda s: F.trim(s) != "")
@@ -52,6 +78,12 @@ def money(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(MONEY), F.lit(0)))
 
 
+def amounts(text: Column) -> Column:
+    """array of the distinct AMOUNTS in order of their first place, blanks as one space."""
+    found = F.regexp_extract_all(text, F.lit(AMOUNTS), F.lit(0))
+    return F.array_distinct(F.transform(found, lambda m: F.regexp_replace(m, f"(?U){BLANK}+", " ")))
+
+
 def terms(text: Column) -> Column:
     """array of the distinct runs of two or more ASCII letters and digits, lower case."""
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]{2,}"), F.lit(0)))

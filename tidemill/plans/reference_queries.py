@@ -69,6 +69,13 @@ def titles(spark: SparkSession, folder: str) -> DataFrame:
     return a.select("uid", texts.clean_title(F.col("title")).alias("title"), texts.same_title(F.col("title")).alias("same_as"))
 
 
+@query()
+def shown_titles(spark: SparkSession, folder: str) -> DataFrame:
+    """As titles, with entities decoded, all blanks and folded case."""
+    a = _announcements(spark, folder, "title")
+    return a.select("uid", texts.shown_title("title").alias("title"), texts.folded_title("title").alias("same_as"))
+
+
 @query(f"{_ONE} select uid, nullif(regexp_replace(regexp_extract(url, '/announcements/([^?#]+)', 1), '^/+|/+$', '', 'g'), '') slug from a where url is not null")
 def slugs(spark: SparkSession, folder: str) -> DataFrame:
     return _announcements(spark, folder, "url").where("url is not null").select("uid", texts.slug(F.col("url")).alias("slug"))
@@ -83,6 +90,13 @@ def money_mentions(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("amount").agg(F.count("*").alias("n_docs"))
 
 
+@query()
+def amount_mentions(spark: SparkSession, folder: str) -> DataFrame:
+    """As money_mentions, with all signs and tokens of the reference."""
+    found = table(spark, folder, "documents").select(F.explode(texts.amounts(F.col("text"))).alias("amount"))
+    return found.groupBy("amount").agg(F.count("*").alias("n_docs"))
+
+
 @query(
     "select doc_id, len(list_filter(regexp_split_to_array(regexp_replace(text, '([.!?。！？])[ \\t\\r\\n]+', '\\1' || chr(10), 'g'), '\\n+'), lambda x: trim(x, ' ') <> '')) n_sentences "
     "from documents where text is not null"
