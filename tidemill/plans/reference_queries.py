@@ -134,9 +134,10 @@ def exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def exact_duplicates_by_instant(spark: SparkSession, folder: str) -> DataFrame:
-    """As exact_duplicates, but the first of the copies is found by the instant of post_time; one that names none counts as missing."""
-    a = with_instants(table(spark, folder, "announcements"), table(spark, folder, "source_clocks")).where("uid is not null and content <> ''")
-    return groups.duplicates(a, "uid", _SAME, F.coalesce("post_time_utc", "fetched_at", F.lit("")))
+    """Every uid, with duplicate_of where exact_duplicates has one, but the first of the copies is found by the instant of post_time; one that names none counts as missing."""
+    a = with_instants(table(spark, folder, "announcements"), table(spark, folder, "source_clocks")).where("uid is not null")
+    found = groups.duplicates(a.where("content <> ''"), "uid", _SAME, F.coalesce("post_time_utc", "fetched_at", F.lit("")))
+    return table(spark, folder, "announcements").where("uid is not null").select("uid").distinct().join(found, "uid", "left")
 
 
 @query(
