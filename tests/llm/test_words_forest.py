@@ -5,8 +5,11 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tidemill.llm.forest import Forest, depth_for, repeats, sketch_agreement
-from tidemill.llm.words import plain_words, runs, word_hashes
+import pyarrow as pa
+
+from tidemill.llm import forest as module
+from tidemill.llm.forest import Forest, chance, repeats, sketch_agreement
+from tidemill.llm.words import plain_words, runs, slices, word_hashes
 
 SCHEMA = "uid string, source string, locale string, title string, content string, fetched_at string, doc string, rep string, chain int"
 
@@ -24,10 +27,15 @@ def test_runs_stay_inside_texts():
     assert one[0] == values[1] and len(runs(*word_hashes([]), 3)[0]) == 0 and np.all(runs(*word_hashes(["", "a"]), 2)[1] == 0)
 
 
-def test_prefix_is_widened_to_the_recall_target():
-    assert depth_for(0.95, 0.9) == 4 and depth_for(0.6, 0.975) == 3 and depth_for(0.6, 0.999) == 2
+def test_pieces_by_bytes():
+    batch = pa.RecordBatch.from_pydict({"t": ["aa", None, "b" * 50, "c", "d"]})
+    assert [b.column("t").to_pylist() for b in slices(iter([batch]), "t", 4)] == [["aa", None], ["b" * 50], ["c", "d"]]
+
+
+def test_prefix_is_widened_to_the_recall_target(spark):
+    assert chance(0.6, 4) < 0.975 <= chance(0.6, 3) and chance(0.95, 4) > 0.9
     with pytest.raises(ValueError):
-        depth_for(0.1, 0.99)
+        Forest(spark, threshold=0.1, recall=0.99)
     assert sketch_agreement(0.8) > sketch_agreement(0.6)
 
 
@@ -88,13 +96,84 @@ def test_empty_and_one_day(spark):
     assert len(repeats(frame(spark, [("a", "A", "EN", None, "one two three four", "2025-09-01T00:00:00Z"), ("b", "A", "EN", None, "One, two three FOUR", "2025-09-01T00:00:00Z")])).collect()) == 1
 
 
+def batches(n=120, seed=2):
+    return [(r[0], f"{r[1]}|{r[2]}", f"{r[3] or ''} {r[4]}") for r in made(n, seed)]
+
+
+def frame3(spark, part):
+    return spark.createDataFrame(part, "uid string, chain string, text string")
+
+
+def pairs(df):
+    return {tuple(r) for r in df.collect()}
+
+
 def test_batches_do_not_matter_and_runs_are_merged(spark):
-    rows = [(r[0], f"{r[1]}|{r[2]}", f"{r[3] or ''} {r[4]}") for r in made(120, 2)]
-    table = lambda part: spark.createDataFrame(part, "uid string, chain string, text string")
-    forest, found, seen = Forest(spark, 3, 0.6, most_runs=2), set(), []
+    rows = batches()
+    forest, found = Forest(spark, run_words=3, threshold=0.6, most_runs=2), set()
     for i in range(4):
-        batch = rows[i * 30 : (i + 1) * 30]
-        found |= {tuple(r) for r in forest.add(table(batch), table(seen) if seen else None).collect()}
-        seen += batch
-    assert len(forest.tables) <= 2
-    assert found == {tuple(r) for r in Forest(spark, 3, 0.6).add(table(rows)).collect()}
+        found |= pairs(forest.add(frame3(spark, rows[i * 30 : (i + 1) * 30])))
+    assert len(forest.note["runs"]) <= 2
+    assert found == pairs(Forest(spark, run_words=3, threshold=0.6).add(frame3(spark, rows)))
+
+
+def test_a_store_is_opened_again_and_batches_count_once(spark):
+    rows = batches(60, 3)
+    first = Forest(spark, run_words=3, threshold=0.6)
+    one = pairs(first.add(frame3(spark, rows[:30]), "mon"))
+    again = Forest(spark, first.path, run_words=3, threshold=0.6)
+    two = pairs(again.add(frame3(spark, rows[30:]), "tue"))
+    assert one | two == pairs(Forest(spark, run_words=3, threshold=0.6).add(frame3(spark, rows)))
+    assert pairs(again.add(frame3(spark, rows[:30]), "mon")) == one and len(again.note["runs"]) == 2
+    with pytest.raises(RuntimeError):  # a second writer with an old note
+        first.add(frame3(spark, rows[:3]), "wed")
+    with pytest.raises(ValueError):
+        Forest(spark, first.path, run_words=5)
+
+
+def test_exact_misses_none(spark):
+    rows = made(150, 5)
+    forest = Forest(spark, run_words=3, threshold=0.6, exact=True)
+    texts = [(r[0], f"{r[1]}|{r[2]}", f"{r[3] or ''} {r[4]}") for r in rows]
+    found = pairs(forest.add(frame3(spark, texts[:100]))) | pairs(forest.add(frame3(spark, texts[100:])))
+    assert sorted(found) == brute(rows, 3, 60)
+
+
+def test_hot_branches_and_shuffled_joins_give_the_same(spark, monkeypatch):
+    words = [f"t{i}" for i in range(80)]
+    rows = [(f"h{k}", "A", " ".join([*words, f"own{k}"])) for k in range(40)] + batches(40, 7)
+    usual = pairs(Forest(spark, run_words=3, threshold=0.6).add(frame3(spark, rows)))
+    assert len(usual) >= 40 * 39 // 2
+    monkeypatch.setattr(module, "HOT_BRANCH", 5)
+    monkeypatch.setattr(module, "at_hand", lambda df, rows=None: df)
+    forest = Forest(spark, run_words=3, threshold=0.6)
+    assert pairs(forest.add(frame3(spark, rows))) == usual and forest.note["runs"][0]["hot"] > 0
+
+
+def test_words_of_history_are_read_where_candidates_lie_only(spark):
+    """Of the parts of a large run, a batch with one near text reads one."""
+    rows = batches(200, 9)
+    forest = Forest(spark, run_words=3, threshold=0.6)
+    forest.add(frame3(spark, rows).repartition(16), "history")
+    texts = forest._texts(forest.note["runs"][0])
+    assert texts.select("seg").distinct().count() > 4
+    new = frame3(spark, [("new", rows[0][1], rows[0][2] + " and more words")])
+    run = forest._write_run(new)
+    forest.note = forest.note | {"runs": [*forest.note["runs"], run]}
+    near = forest._searched(run)
+    one = near[0].select("a1").union(near[0].select("b1")).toDF("d1").distinct()
+    words = forest._words_of(one)
+    read = {f.split("seg=")[1].split("/")[0] for f in words.inputFiles() if forest.note["runs"][0]["name"] in f}
+    assert 1 <= len(read) <= 4 and words.count() == one.count()
+
+
+def test_classes(spark):
+    text = " ".join(f"x{i}" for i in range(60))
+    rows = [("a", "A", text), ("b", "A", text), ("c", "A", text + " y"), ("d", "A", "quite another text"), ("e", "B", text)]
+    forest = Forest(spark, run_words=3, threshold=0.6)
+    assert Forest(spark).classes().count() == 0
+    forest.add(frame3(spark, rows[:3]))
+    forest.add(frame3(spark, rows[3:]))
+    got = {r.uid: (r.class_id, r.n_links) for r in forest.classes().collect()}
+    assert len({got[u][0] for u in "abc"}) == 1 and len({v[0] for v in got.values()}) == 3
+    assert {u: v[1] for u, v in got.items()} == {"a": 2, "b": 2, "c": 2, "d": 0, "e": 0}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import mixing, personal, postings
-from tidemill.llm.forest import repeats
+from tidemill.llm.forest import repeats, taken_in
 from tidemill.sources.tables import table
 
 #: Words of a test text in a row that count as leaked.
@@ -20,6 +20,10 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return repeats(table(spark, folder, "announcements"))
 
 
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return taken_in(table(spark, folder, "announcements"), 3)[0].classes()
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
     index = postings.index(docs, "doc_id", "text")
@@ -59,6 +63,6 @@ def p8_redacted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p6_found, p6_proximity, p7_mix, p7_shares, p8_found, p8_redacted)
+    f.__name__: f for f in (p3_found, p3_classes, p6_found, p6_proximity, p7_mix, p7_shares, p8_found, p8_redacted)
 }
 SQL: dict[str, str] = {}

@@ -5,10 +5,12 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 _TAG = re.compile(r"<(?:/?[A-Za-z][^<>]*|!--.*?--|![^<>]*|\?[^<>]*)>", re.S)
@@ -28,6 +30,18 @@ def plain_words(text: str) -> list[str]:
     return _WORD.findall(_UNSEEN.sub("", unicodedata.normalize("NFKD", text.casefold())))
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of a piece take about `most` bytes at most; a longer text is a piece of its own."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """uint64 well spread over all bits."""
     values = (values ^ (values >> np.uint64(31))) * _MIX[0]
@@ -37,7 +51,11 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 def word_hashes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all words of all texts in a row, number of words of each text)."""
-    words = [plain_words(t) for t in texts]
+    return hashed([plain_words(t) for t in texts])
+
+
+def hashed(words: Sequence[Sequence[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """As word_hashes, of texts that are cut into words."""
     flat = np.array([w for own in words for w in own], dtype=object)
     counts = np.fromiter(map(len, words), np.int64, len(words))
     if not len(flat):
