@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -163,8 +164,10 @@ def test_words_of_history_are_read_where_candidates_lie_only(spark):
     near = forest._searched(run)
     one = near[0].select("a1").union(near[0].select("b1")).toDF("d1").distinct()
     words = forest._words_of(one)
-    read = {f.split("seg=")[1].split("/")[0] for f in words.inputFiles() if forest.note["runs"][0]["name"] in f}
-    assert 1 <= len(read) <= 4 and words.count() == one.count()
+    plan = words._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan, re.S)
+    parts = [set(re.findall(r"\b\d+\b", re.sub(r"#\d+", "", f))) for f in filters]
+    assert parts and all(1 <= len(p) <= 2 for p in parts) and words.count() == one.count()
 
 
 def test_classes(spark):
