@@ -156,7 +156,7 @@ class Forest:
     exist; a store opened again must have the settings it was made with. One writer at a time: of two that add at once one fails.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, run_words: int = 5, threshold: float = 0.8, recall: float = 0.975, most_runs: int = 4, exact: bool = False) -> None:
+    def __init__(self, spark: SparkSession, path: str | None = None, run_words: int = 5, threshold: float = 0.8, recall: float = 0.975, most_runs: int = 3, exact: bool = False) -> None:
         self.spark, self.path, self.most_runs, self.exact, self.recall = spark, path or new_path(spark, "forest"), most_runs, exact, recall
         self.run_words, self.percent, self.threshold = run_words, round(100 * threshold), threshold
         self.agree = sketch_agreement(threshold)
@@ -180,12 +180,17 @@ class Forest:
         """Writes a part of a run in sorted buckets, few where it is small; joins on the bucket column read it without a shuffle."""
         _, by, order = PARTS[part]
         buckets = run["buckets"][part] = max(1, min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), rows // BUCKET_ROWS))
-        writer = df.repartition(buckets, by).write.format("parquet").option("compression", "zstd").bucketBy(buckets, by).sortBy(*order)
-        writer.option("path", f"{self.path}/{run['name']}/{part}").saveAsTable(_named(run, part))
+        laid, where = df.repartition(buckets, by), f"{self.path}/{run['name']}/{part}"
+        if buckets == 1:
+            laid.sortWithinPartitions(*order).write.option("compression", "zstd").parquet(where)
+        else:
+            laid.write.format("parquet").option("compression", "zstd").bucketBy(buckets, by).sortBy(*order).option("path", where).saveAsTable(_named(run, part))
 
     def _table(self, run: dict, part: str) -> DataFrame:
         """A bucketed part of a run, made known to this session's catalog where it isn't."""
         columns, by, order = PARTS[part]
+        if run["buckets"][part] == 1:
+            return self.spark.read.schema(columns).parquet(f"{self.path}/{run['name']}/{part}")
         if not self.spark.catalog.tableExists(_named(run, part)):
             self.spark.sql(
                 f"create table {_named(run, part)} ({columns}) using parquet options (path '{self.path}/{run['name']}/{part}') "
@@ -239,7 +244,7 @@ class Forest:
 
     def _in_range(self, own: dict, other: dict, depth: int) -> DataFrame:
         """(a1, b1): the entries of `own` and those of `other` whose label lies in the range of their prefix of `depth` values."""
-        mine, there = at_hand(self._table(own, "labels"), own["entries"] * TREES), self._table(other, "labels")
+        mine, there = at_hand(self._table(own, "labels"), own["entries"] * TREES, 100_000), self._table(other, "labels")
         rest = F.lit((1 << BITS * (DEPTH - depth)) - 1).cast("long") if not self.exact else F.lit(0).cast("long")
         low = F.col("n.label").bitwiseAND(F.bitwise_not(rest))
         high = F.col("n.label").bitwiseOR(rest)
@@ -370,7 +375,7 @@ class Forest:
         self._note_hot(run)
         self._commit([*rest, run], self.note["batches"])
         for r in small:  # what was found in them is kept beside them
-            for part in PARTS:
+            for part in (p for p, n in r["buckets"].items() if n > 1):
                 self.spark.sql(f"drop table if exists {_named(r, part)}")
             remove(self.spark, f"{self.path}/{r['name']}")
 
