@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 from tidemill.llm import mixing, postings
 from tidemill.llm.words import plain_words
+from tidemill.operators import ranges
 
 DOCS = "doc_id long, text string, doc string, term int, item int"
 ITEMS = "item_id long, text string, place string"
@@ -111,6 +112,24 @@ def test_mix_of_nothing_and_odd_rows(spark):
     assert [(r.key, r.copy) for r in rows] == [(1, 0), (1, 0)]
 
 
+def test_one_tiny_weight_does_not_crowd_the_others(spark):
+    """A source of weight 1e-7 stretches the axis of finish times; the ranges still hold about equally many records."""
+    sized = [(i, "abcd"[i % 4], 100) for i in range(4000)] + [(9000 + i, "tiny", 100) for i in range(40)]
+    targets = [(s, 0.25, 2) for s in "abcd"] + [("tiny", 1e-7, 3)]
+    laid = []
+    own = mixing.running_sum
+    mixing.running_sum = lambda rows, *more: laid.append(rows) or own(rows, *more)
+    try:
+        rows = mixed(spark, sized, targets)
+    finally:
+        mixing.running_sum = own
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small as it is, it would be one range
+    parts = ranges.laid_out(laid[0], ["_finish"], "n_tokens").groupBy("_part").count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 0.4 * sum(r["count"] for r in parts)
+    assert sum(r.n_tokens for r in rows) == 404_000 and laid[0].count() < 4200  # of 8,120 copies
+
+
 def test_tokens_and_report(spark):
     docs = spark.createDataFrame([(1, "Hello world", " A "), (2, None, "a"), (3, "", None), (4, "x" * 200_000, "b")], "doc_id long, text string, source string")
     sized = mixing.with_tokens(docs, "doc_id", "text", "source", "/opt/tokenizers/byte_bpe_50k.tiktoken")

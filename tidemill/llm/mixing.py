@@ -3,12 +3,14 @@
 Method: weighted fair queueing. Every source's records are shuffled; each gets a virtual finish time, the
 tokens of its source up to and with it divided by the source's target weight. All records are range-sorted
 by that time and cut where the budget is full. A source is gone through again, up to its cap, before it
-falls silent; its share then goes to the others in proportion to their weights.
+falls silent; its share then goes to the others in proportion to their weights. The sort is by ranges of
+finish times that hold about equally many records, whatever the weights; only a sum for each range is added up.
 """
 
 from __future__ import annotations
 
 import base64
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,10 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.session import saved
+from tidemill.llm.words import slices
+from tidemill.operators.ranges import running_sum
+from tidemill.session import at_hand, saved
 
 #: Records that one window sorts, about.
 CELL_RECORDS = 50_000
+#: Values of the hash that shuffles the records.
+HASHES = 16**15
 #: Fixed value: the split pattern of the byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -38,7 +44,7 @@ def with_tokens(texts: DataFrame, key: str, text: str, source: str, tokenizer: s
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _tokenizer(tokenizer).encode_ordinary
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sizes = [len(encode(t)) if t else 0 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("source"), pa.array(sizes, pa.int64())], names=["key", "source", "n_tokens"])
 
@@ -50,16 +56,39 @@ def tidy_source(source: Column) -> Column:
     return F.lower(F.trim(F.coalesce(source, F.lit(""))))
 
 
-def running(records: DataFrame, group: list[str], cell: str, order: list[str], size: str, name: str) -> DataFrame:
-    """Adds `name`, the sum of `size` over the group's records before each record by (cell, order).
+def queued(records: DataFrame, cells: int) -> DataFrame:
+    """Adds _queued, the tokens of the source's shuffled records before each record.
 
-    Windows run inside (group, cell); only the sums of the cells go through a window over the group.
+    The shuffle's cells are equally wide parts of a hash, so they hold about equally many records; windows run inside
+    (source, cell), and only one sum for each of them goes through a window over the source.
     """
-    sums = records.groupBy(*group, cell).agg(F.sum(size).alias("_sum"))
-    earlier = Window.partitionBy(*group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*group, cell, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*group, cell).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return records.join(sums, [*group, cell]).withColumn(name, F.col("_before") + F.coalesce(F.sum(size).over(inside), F.lit(0))).drop("_before")
+    dealt = records.withColumn("_cell", F.floor(F.col("_u") / F.lit(float(HASHES)) * cells))
+    sums = dealt.groupBy("source", "_cell").agg(F.sum("n_tokens").alias("_sum"))
+    earlier = Window.partitionBy("source").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("source", "_cell", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("source", "_cell").orderBy("_u", "key", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.join(before, ["source", "_cell"]).withColumn("_queued", F.col("_before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+
+
+def _full_at(wholes: DataFrame, budget: int) -> float:
+    """The virtual time by which the queues have surely given `budget` tokens; infinite where they never do.
+
+    At time t a source has given weight * t tokens, all its repeats at most, less the record it is at. `wholes` has one row
+    for each source of the targets: (_w, _r, _whole, _most), _most being its largest record.
+    """
+    own = wholes.select((F.col("_r") * F.col("_whole")).alias("_all"), "_w", "_most").withColumn("_end", F.col("_all") / F.col("_w"))
+    so_far = Window.orderBy("_end")
+    given = own.select("_end", "_w", F.sum("_all").over(so_far).alias("_ended"), F.sum("_w").over(so_far).alias("_left"), F.sum("_most").over(Window.partitionBy()).alias("_slack"), F.sum("_w").over(Window.partitionBy()).alias("_weights"))
+    # what all have given when a source ends: those ended whole, the others by weight
+    at_end = F.col("_ended") + F.col("_end") * (F.col("_weights") - F.col("_left"))
+    wanted = F.lit(budget) + F.col("_slack")
+    steps = given.select("_end", at_end.alias("_given"), (F.col("_weights") - F.col("_left")).alias("_rate"), wanted.alias("_wanted"), "_weights").agg(
+        F.max(F.when(F.col("_given") < F.col("_wanted"), F.struct("_end", "_given", "_rate"))).alias("last"), F.max("_wanted").alias("wanted"), F.max("_weights").alias("weights")
+    ).first()  # one row
+    if steps is None or steps["wanted"] is None:
+        return math.inf
+    end, given_then, rate = tuple(steps["last"]) if steps["last"] else (0.0, 0.0, steps["weights"])
+    return (end + (steps["wanted"] - given_then) / rate) * 1.001 if rate > 1e-12 else math.inf
 
 
 def mix(sized: DataFrame, targets: DataFrame, seed: int = 0, budget: int | None = None) -> DataFrame:
@@ -71,26 +100,26 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 0, budget: int | None
     or absent from `targets` give nothing, nor do records without tokens or key. The mix is cut before the
     first record that would pass the budget. Records of equal keys are told apart by size alone: equal rows
     follow one another.
+
+    Copies whose turn comes after the budget is surely full aren't made, so what is sorted is little more than the budget.
     """
     sized = saved(sized.where("key is not null and n_tokens > 0"), "sized")
     totals = sized.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.count("*")).first()
     budget, n = totals[0] if budget is None else budget, totals[1]
-    cells = max(1, n // CELL_RECORDS)
     own = targets.where("target_share > 0 and coalesce(max_repeats, 1) > 0").groupBy(tidy_source(F.col("source")).alias("source")).agg(
         F.max(F.struct(F.col("target_share").alias("w"), F.coalesce("max_repeats", F.lit(1)).alias("r"))).alias("_t")
     )
-    # as many rows as targets has
-    drawn = sized.join(F.broadcast(own) if targets.count() <= 100_000 else own, "source").withColumn("_u", F.xxhash64(F.lit(seed), "key"))
-    shuffled = drawn.withColumn("_cell", F.floor((F.col("_u") / F.lit(2.0**64) + 0.5) * cells))
-    queued = running(shuffled, ["source"], "_cell", ["_u", "key", "n_tokens"], "n_tokens", "_queued")
-    whole = sized.groupBy("source").agg(F.sum("n_tokens").alias("_whole"))
-    copies = queued.join(whole, "source").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_t.r") - 1)))
-    finish = (F.col("copy") * F.col("_whole") + F.col("_queued") + F.col("n_tokens")) / F.col("_t.w")
-    timed = saved(copies.select("key", "source", "copy", "n_tokens", "_u", finish.alias("_finish")), "timed")
-    last = timed.agg(F.max("_finish")).first()[0] or 1.0
-    spread = max(1, timed.count() // CELL_RECORDS) * 4
-    ranged = timed.withColumn("_all", F.lit(0)).withColumn("_cell", F.floor(F.col("_finish") / F.lit(last) * spread))
-    placed = running(ranged, ["_all"], "_cell", ["_finish", "source", "_u", "key", "copy"], "n_tokens", "starts_at")
+    sums = sized.groupBy("source").agg(F.sum("n_tokens").alias("_whole"), F.max("n_tokens").alias("_most"))
+    # as many rows as the targets have sources
+    wholes = saved(own.join(sums, "source").select("source", F.col("_t.w").alias("_w"), F.col("_t.r").alias("_r"), "_whole", "_most"), "wholes")
+    full = _full_at(wholes, budget)
+    hashed = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("key").cast("string"))), 1, 15), 16, 10).cast("long")
+    drawn = queued(sized.join(at_hand(wholes), "source").withColumn("_u", hashed), max(1, n // CELL_RECORDS))
+    last = F.least(F.col("_r") - 1, F.floor(F.lit(min(full, 1e300)) * F.col("_w") / F.col("_whole")))
+    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    finish = (F.col("copy") * F.col("_whole") + F.col("_queued") + F.col("n_tokens")) / F.col("_w")
+    timed = copies.select("key", "source", "copy", "n_tokens", "_u", finish.alias("_finish")).where(F.col("_finish") <= full)
+    placed = running_sum(timed, ["_finish", "source", "_u", "key", "copy"], "n_tokens", "starts_at")
     return placed.where(F.col("starts_at") + F.col("n_tokens") <= budget).select("key", "source", "copy", "n_tokens", "starts_at")
 
 

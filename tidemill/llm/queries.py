@@ -50,6 +50,13 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.shares(_mix(spark, folder), table(spark, folder, "mix_targets"))
 
 
+def p7_mix_by_chars(spark: SparkSession, folder: str) -> DataFrame:
+    """The mix with sizes in characters, which SQL can count."""
+    docs = table(spark, folder, "documents")
+    sized = docs.select(F.col("doc_id").alias("key"), mixing.tidy_source(F.col("source")).alias("source"), F.length("text").cast("long").alias("n_tokens"))
+    return mixing.mix(sized, table(spark, folder, "mix_targets")).select(F.col("key").alias("doc_id"), "source", "copy", F.col("n_tokens").alias("n_chars"), "starts_at")
+
+
 def _entities(spark: SparkSession, folder: str) -> DataFrame:
     return personal.entities(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "name_parts"))
 
@@ -63,6 +70,16 @@ def p8_redacted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p3_found, p3_classes, p6_found, p6_proximity, p7_mix, p7_shares, p8_found, p8_redacted)
+    f.__name__: f for f in (p3_found, p3_classes, p6_found, p6_proximity, p7_mix, p7_shares, p7_mix_by_chars, p8_found, p8_redacted)
 }
-SQL: dict[str, str] = {}
+_P7 = """
+with d as (select doc_id, lower(trim(coalesce(source, ''), ' ')) source, length(text) n from documents where doc_id is not null and length(text) > 0),
+t as (select lower(trim(coalesce(source, ''), ' ')) source, max((target_share, coalesce(max_repeats, 1))) tr from mix_targets where target_share > 0 and coalesce(max_repeats, 1) > 0 group by 1),
+q as (select d.*, tr[1] w, tr[2] r, ('0x' || substr(md5('0:' || doc_id), 1, 15))::bigint u, sum(n) over (partition by d.source) whole from d join t on t.source = d.source),
+f as (select *, sum(n) over (partition by source order by u, doc_id, n rows unbounded preceding) ahead from q),
+c as (select f.*, unnest(range(r)) copy from f),
+o as (select *, sum(n) over (order by (copy * whole + ahead)::double / w, source, u, doc_id, copy rows unbounded preceding) - n starts_at from c)
+select doc_id, source, copy::int as copy, n n_chars, starts_at::bigint starts_at from o where starts_at + n <= (select sum(n) from d)
+"""
+
+SQL: dict[str, str] = {"p7_mix_by_chars": _P7}
