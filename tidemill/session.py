@@ -87,6 +87,17 @@ def listed(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def state(spark: SparkSession, path: str) -> list[str]:
+    """Names, lengths and times of the files of a table: another list once it was written again."""
+    fs, where = _files(spark, path)
+    files = fs.listFiles(where, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()};")
+    return sorted(found)
+
+
 def read_note(spark: SparkSession, path: str) -> dict:
     fs, where = _files(spark, path)
     stream = fs.open(where)
