@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from tidemill.llm import mixing, postings
 from tidemill.llm.words import plain_words
 from tidemill.operators import ranges
+from tidemill.session import new_path
 
 DOCS = "doc_id long, text string, doc string, term int, item int"
 ITEMS = "item_id long, text string, place string"
@@ -12,7 +13,7 @@ ITEMS = "item_id long, text string, place string"
 def leaked(spark, docs, items, length):
     d = spark.createDataFrame([(*x, "c", 1, 2) for x in docs], DOCS)
     i = spark.createDataFrame([(*x, "c") for x in items], ITEMS)
-    index = postings.index(d, "doc_id", "text")
+    index = postings.kept(d, "doc_id", "text", new_path(spark, "index"))
     return sorted(tuple(r) for r in postings.phrases(index, d, "doc_id", "text", i, "item_id", "text", length).collect())
 
 
@@ -52,10 +53,36 @@ def test_empty_tables(spark):
     assert leaked(spark, [], [(1, "one two three")], 2) == [] and leaked(spark, [(1, "one two three")], [], 2) == []
 
 
+def test_appended_segments_and_blocks_of_test_texts(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [(n, " ".join(rng.choice("a b c d e f".split()) for _ in range(60))) for n in range(120)]
+    items = spark.createDataFrame([(i, " ".join(rng.choice("a b c d e f".split()) for _ in range(20))) for i in range(30)], "item_id long, text string")
+    frame = lambda part: spark.createDataFrame(part, "doc_id long, text string")
+    whole = postings.kept(frame(texts), "doc_id", "text", new_path(spark, "index"))
+    path = new_path(spark, "index")
+    for k in range(3):
+        grown = postings.append(frame(texts[k * 40 : k * 40 + 40]), "doc_id", "text", path)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    look = lambda index: (rows(postings.phrases(index, frame(texts), "doc_id", "text", items, "item_id", "text", 4)), rows(postings.proximities(index, items, "item_id", "text")))
+    expected = look(whole)
+    assert rows(grown.terms.select("term", "n_docs")) == rows(whole.terms.select("term", "n_docs")) and expected[0] and expected[1]
+    monkeypatch.setattr(postings, "BLOCK_WORDS", 100)
+    monkeypatch.setattr(postings, "at_hand", lambda df, *bounds, **more: df)
+    assert look(grown) == expected
+
+
+def test_layers_without_a_wanted_term_are_not_read(spark):
+    docs = spark.createDataFrame([(n, f"common words here rare{n}") for n in range(200)], "doc_id long, text string")
+    index = postings.kept(docs, "doc_id", "text", new_path(spark, "index"))
+    wanted = postings.with_frequencies(postings.test_words(spark.createDataFrame([(1, "rare7 rare8")], "i long, t string"), "i", "t"), index)
+    plan = postings._searched(index, wanted, lambda t: t.select(["term"]), "term long")._jdf.queryExecution().executedPlan().toString()
+    assert "band" in plan.split("PartitionFilters")[1].split("PushedFilters")[0] and [r[0] for r in wanted.select("bands").collect()] == [[0], [0]]
+
+
 def test_proximity(spark):
     items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "alpha beta x gamma delta y epsilon zeta eta"), (2, "alpha " + "x " * 60 + "beta gamma"), (3, None)], "doc_id long, text string")
-    assert [(r.doc, r.item) for r in postings.proximities(postings.index(docs, "doc_id", "text"), items, "item_id", "text").collect()] == [(1, 1)]
+    assert [(r.doc, r.item) for r in postings.proximities(postings.kept(docs, "doc_id", "text", new_path(spark, "index")), items, "item_id", "text").collect()] == [(1, 1)]
 
 
 def test_proximity_meets_every_part(spark):
@@ -66,7 +93,7 @@ def test_proximity_meets_every_part(spark):
     loose = part["d"].replace("d7", "d7 and then").replace("d3", "d3 x")
     docs = [*often, (50, part["d"]), (51, loose), (52, " ".join(reversed(part["d"].split()))), (53, "c1 " + "x " * 30 + "c2 c3 c4"), (54, " ".join(part.values())), (55, None)]
     docs = spark.createDataFrame(docs, "doc_id long, text string")
-    found = postings.proximities(postings.index(docs, "doc_id", "text"), items, "item_id", "text").collect()
+    found = postings.proximities(postings.kept(docs, "doc_id", "text", new_path(spark, "index")), items, "item_id", "text").collect()
     assert sorted((r.doc, r.item, r.n_terms) for r in found) == [*((n, 1, 8) for n in range(40)), (50, 1, 8), (51, 1, 8), (54, 1, 8)]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import mixing, personal, postings
 from tidemill.llm.forest import repeats, taken_in
+from tidemill.session import shared_folder, state
 from tidemill.sources.tables import table
 
 #: Words of a test text in a row that count as leaked.
@@ -24,16 +26,21 @@ def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
     return taken_in(table(spark, folder, "announcements"), 3)[0].classes()
 
 
+def _index(spark: SparkSession, folder: str) -> postings.Index:
+    """The index of the documents, kept beside the session's other tables: both queries, and later ones, open the same as long as the table is the same."""
+    files = "".join(state(spark, f"{folder}/documents.parquet"))
+    path = f"{shared_folder(spark)}/tidemill/index-{hashlib.md5(f'{folder} {files}'.encode()).hexdigest()}"
+    return postings.kept(table(spark, folder, "documents"), "doc_id", "text", path)
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
-    index = postings.index(docs, "doc_id", "text")
-    found = postings.phrases(index, docs, "doc_id", "text", items, "item_id", "text", LEAKED_WORDS)
+    found = postings.phrases(_index(spark, folder), docs, "doc_id", "text", items, "item_id", "text", LEAKED_WORDS)
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
 
 
 def p6_proximity(spark: SparkSession, folder: str) -> DataFrame:
-    docs, items = table(spark, folder, "documents"), table(spark, folder, "eval_items")
-    found = postings.proximities(postings.index(docs, "doc_id", "text"), items, "item_id", "text")
+    found = postings.proximities(_index(spark, folder), table(spark, folder, "eval_items"), "item_id", "text")
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "n_terms")
 
 
