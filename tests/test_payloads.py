@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tidemill.operators.nested import array_levels, document, flat_tables, merged_schema
+from tidemill.operators.nested import array_levels, document, exploded, flat_tables, merged_schema, values
 from tidemill.plans.payloads import children
 
 SCHEMA = "payload_id long, endpoint string, body string, entity string, _up int"
@@ -51,8 +51,32 @@ def test_merged_schema_and_flat_tables(spark):
     records = spark.createDataFrame(list(enumerate(bodies)), "id long, body string").select("id", document(F.col("body")).alias("doc"))
     schema = {(r.path, r.kind): r.n for r in merged_schema(records, "doc").collect()}
     assert schema[("a.list", "array")] == 1 and schema[("a.list", "object")] == 3 and schema[("a.list.x", "string")] == 1
-    assert array_levels(merged_schema(records, "doc")) == ["a.list", "a.list.sub"]
+    assert sorted((r.level, r._above, r._inner, r.depth) for r in array_levels(merged_schema(records, "doc")).collect()) == [("a.list", "", "$.a.list", 1), ("a.list.sub", "a.list", "$.sub", 2)]
     tables = flat_tables(records, "id", "doc")
     assert sorted((r.id, r._ordinal, r.x) for r in tables["a.list"].collect()) == [(0, 0, "1"), (0, 1, "two"), (1, 0, None)]
     subs = tables["a.list.sub"].collect()
     assert [(r._parent_sk, r._ordinal, r.value) for r in sorted(subs, key=lambda r: r._ordinal)] == [("$.a.list[0]", 0, "1"), ("$.a.list[0]", 1, "2")]
+
+
+def test_wrapped_any_number_of_times_and_lists_as_text(spark):
+    body = json.dumps(BINGX)
+    for _ in range(7):
+        body = json.dumps(body)
+    text = json.dumps({"data": {"activityCenterInfoVos": json.dumps(json.dumps([{"activityId": 8}]))}})
+    assert run(spark, [(1, "bingx_events_api", body)]) == [(1, "activity", "", "7"), (1, "activity_tag", "7", "1"), (1, "activity_tag", "7", "2")]
+    assert (2, "activity", "", "8") in run(spark, [(1, "bingx_events_api", json.dumps(BINGX)), (2, "bingx_events_api", text)])
+
+
+def test_levels_of_one_endpoint_are_not_those_of_another(spark):
+    rows = [(1, "bingx_events_api", json.dumps(BINGX)), (2, "lbank_events_loadingpage", json.dumps({"data": {"activityId": 1, "activityCenterInfoVos": [{"activityId": 9}]}}))]
+    assert [r for r in run(spark, rows) if r[0] == 2] == [(2, "event", "", "1")]
+
+
+def test_new_levels_and_odd_names_need_no_code(spark):
+    bodies = ['{"x.y": [{"a\'b": [1, 2]}], "new": [[1], {"deep": [{"v": 5}]}]}', "[]", "7"]
+    records = spark.createDataFrame(list(enumerate(bodies)), "id long, body string").select("id", document(F.col("body")).alias("doc"))
+    schema = merged_schema(records, "doc")
+    got = {(r.id, r.level, r._parent_sk, r._sk, r.name, r.value) for r in values(exploded(records, "id", "doc"), "id", schema).collect()}
+    assert (0, "new.deep", "$.new[1]", "$.new[1].deep[0]", "v", "5") in got
+    assert {(r[1], r[5]) for r in got if "x.y" in r[1]} == {("['x.y'][\"a'b\"]", "1"), ("['x.y'][\"a'b\"]", "2")}
+    assert (2, "", None, "$", "", "7") in got

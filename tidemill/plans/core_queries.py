@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import history as H
 from tidemill.operators.snapshots import change_counts, changes
 from tidemill.plans.clocks import utc_times
-from tidemill.plans.payloads import children
+from tidemill.plans.payloads import children, flat_values
 from tidemill.sources.tables import table
 
 
@@ -27,6 +27,10 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return children(table(spark, folder, "raw_payloads"))
 
 
+def p2_flat(spark: SparkSession, folder: str) -> DataFrame:
+    return flat_values(table(spark, folder, "raw_payloads"))
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return utc_times(table(spark, folder, "announcements"), table(spark, folder, "source_clocks"))
 
@@ -41,7 +45,7 @@ def p5_attribute_intervals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_counts, p2_found, p4_found, p5_found, p5_attribute_intervals)
+    f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_flat, p4_found, p5_found, p5_attribute_intervals)
 }
 
 _P1 = """

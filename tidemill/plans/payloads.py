@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.nested import array_levels, document, explode_levels, merged_schema, text_at
-from tidemill.session import saved
+from tidemill.operators.nested import document, exploded, homes, merged_schema, relative, rows_levels, text_at, values
+from tidemill.session import at_hand, saved
 
-#: Levels that every payload of an endpoint has, whether its list is a list, one object or missing, with the path of a row's id.
-LEVELS = {
-    "bingx_events_api": {"data.activityCenterInfoVos": "activityId", "data.activityCenterInfoVos.tags": "id"},
-    "lbank_events_loadingpage": {
-        "data": "activityId", "data.attributionTagList": "id", "data.taskInfoList": "taskId", "data.taskInfoList.attributionTagList": "id",
-        "data.taskInfoList.taskGroupList": "groupId", "data.taskInfoList.taskGroupList.conditionList": "conditionId",
-    },
-    "zoomex_menu": {"result": "menu.id", "result.titles": "lang"},
-}
-#: The levels written as tables: those with children.
-KEPT = {level for own in LEVELS.values() for level in own if not level.endswith((".tags", ".conditionList", ".titles"))}
-#: Entities by level; a tag below a tag is a sub_tag.
-ENTITIES = {
-    "data.activityCenterInfoVos": "activity", "data.activityCenterInfoVos.tags": "activity_tag", "data": "event", "data.attributionTagList": "event_tag",
-    "data.taskInfoList": "task", "data.taskInfoList.attributionTagList": "task_tag", "data.taskInfoList.taskGroupList": "task_group",
-    "data.taskInfoList.taskGroupList.conditionList": "condition", "result": "menu", "result.titles": "menu_title",
-}
-#: Entities that hang on the payload itself.
-FIRST = ("activity", "event", "menu")
+ENDPOINTS = ("bingx_events_api", "lbank_events_loadingpage", "zoomex_menu")
+#: Which scalar is the id of which entity, and which is its parent's; '' is the payload itself. The levels are the inferred ones.
+ENTITIES = [
+    ("bingx_events_api", "data.activityCenterInfoVos.activityId", "activity", ""),
+    ("bingx_events_api", "data.activityCenterInfoVos.tags.id", "activity_tag", "data.activityCenterInfoVos.activityId"),
+    ("lbank_events_loadingpage", "data.activityId", "event", ""),
+    ("lbank_events_loadingpage", "data.timeInfo.startTime", "event_start", "data.activityId"),
+    ("lbank_events_loadingpage", "data.attributionTagList.id", "event_tag", "data.activityId"),
+    ("lbank_events_loadingpage", "data.taskInfoList.taskId", "task", "data.activityId"),
+    ("lbank_events_loadingpage", "data.taskInfoList.attributionTagList.id", "task_tag", "data.taskInfoList.taskId"),
+    ("lbank_events_loadingpage", "data.taskInfoList.taskGroupList.groupId", "task_group", "data.taskInfoList.taskId"),
+    ("lbank_events_loadingpage", "data.taskInfoList.taskGroupList.conditionList.conditionId", "condition", "data.taskInfoList.taskGroupList.groupId"),
+    ("zoomex_menu", "result.menu.id", "menu", ""),
+    ("zoomex_menu", "result.titles.lang", "menu_title", "result.menu.id"),
+]
+#: A tag below a tag, at any depth.
+SUB_TAG = r"attributionTagList(\.tags)+\.id$"
+TITLE = "result.titles.menuTitle"
 #: Answers that are no errors.
 GOOD_CODES = ("0", "200")
 
@@ -39,38 +36,51 @@ def number(found: Column) -> Column:
 
 
 def readable(payloads: DataFrame) -> DataFrame:
-    """(payload_id, endpoint, doc): payloads that are valid JSON and no error answers, redelivered ones once."""
-    opened = payloads.where("payload_id is not null and body is not null").where(F.col("endpoint").isin(*LEVELS)).dropDuplicates(["payload_id", "endpoint", "body"])
+    """(_record, payload_id, endpoint, doc): payloads that are valid JSON and no error answers, redelivered ones once; parsed once and written."""
+    opened = payloads.where("payload_id is not null and body is not null").where(F.col("endpoint").isin(*ENDPOINTS)).dropDuplicates(["payload_id", "endpoint", "body"])
     opened = opened.select("payload_id", "endpoint", document(F.col("body")).alias("doc"))
     code = F.coalesce(text_at(F.col("doc"), "code"), text_at(F.col("doc"), "ret_code"), F.lit("0"))
-    return opened.where(F.col("doc").isNotNull() & code.isin(*GOOD_CODES))
+    return saved(opened.where(F.col("doc").isNotNull() & code.isin(*GOOD_CODES)).withColumn("_record", F.monotonically_increasing_id()), "payloads")
+
+
+def _named(schema: DataFrame) -> DataFrame:
+    """(_group, path, entity, parent_path, home, up, rel, parent_rel, title_rel): the ids that the records have, with the levels they and their parents' ids lie in."""
+    spark = schema.sparkSession
+    paths = schema.where("kind in ('string', 'number')").select("_group", "path").distinct()
+    given = F.broadcast(spark.createDataFrame(ENTITIES, "_group string, path string, entity string, parent_path string"))
+    deep = paths.where((F.col("_group") == ENDPOINTS[1]) & F.col("path").rlike(SUB_TAG)).select("_group", "path", F.lit("sub_tag").alias("entity"), F.regexp_replace("path", r"\.tags\.id$", ".id").alias("parent_path"))
+    levels = rows_levels(schema)
+    both = homes(homes(paths.join(given, ["_group", "path"]).unionByName(deep), levels, "path"), levels, "parent_path", "up", "home")
+    title = F.when(F.col("entity") == "menu_title", relative(F.lit(TITLE), F.col("home")))
+    return both.withColumns({"rel": relative(F.col("path"), F.col("home")), "parent_rel": relative(F.col("parent_path"), F.col("up")), "title_rel": title})
 
 
 def children(payloads: DataFrame) -> DataFrame:
     """(payload_id, entity, parent_id, child_id), distinct: every child with an id under a parent with one.
 
-    Nulls, empty lists, unreadable bodies and error answers give no rows; payloads of other endpoints
-    are not read; other columns may have any names. An empty table gives no rows.
+    Rows are those of `exploded`; a child is joined to its parent's row by record and surrogate key. Nulls, empty lists, unreadable bodies
+    and error answers give no rows; payloads of other endpoints are not read; other columns may have any names. An empty table gives no rows.
     """
-    docs = saved(readable(payloads), "payloads", ["endpoint"])  # parsed once, read by each level of its endpoint
-    levels = array_levels(merged_schema(docs, "doc"), recursive="tags")
-    parts = []
-    for endpoint, own in LEVELS.items():
-        deep = {p: "id" for p in levels if p not in own and any(p.startswith(f"{o}.") for o in own)}
-        ids = own | deep
-        order = sorted(ids, key=lambda p: (p.count("."), p))
-        tables = explode_levels(docs.where(F.col("endpoint") == endpoint), "payload_id", "doc", order, ids, KEPT)
-        for level in order:
-            entity = ENTITIES.get(level) or ("sub_tag" if "attributionTagList." in level and level.endswith(".tags") else None)
-            if entity is None:
-                continue
-            rows = tables[level]
-            if entity == "menu_title":
-                rows = rows.where(text_at(F.col("_node"), "menuTitle").isNotNull())
-            parent = F.lit("") if entity in FIRST else number(F.col("_parent_id"))
-            child = F.col("_id") if entity == "menu_title" else number(F.col("_id"))
-            parts.append(rows.select("payload_id", F.lit(entity).alias("entity"), parent.alias("parent_id"), child.alias("child_id")))
-            if entity == "event":
-                start = number(text_at(F.col("_node"), "timeInfo.startTime"))
-                parts.append(rows.select("payload_id", F.lit("event_start").alias("entity"), number(F.col("_id")).alias("parent_id"), start.alias("child_id")))
-    return reduce(DataFrame.unionByName, parts).where("parent_id is not null and child_id is not null").distinct()
+    docs = readable(payloads)
+    schema = saved(merged_schema(docs, "doc", "endpoint"), "schema")
+    rows = exploded(docs.withColumn("_id", F.struct("_record", "payload_id")), "_id", "doc", "endpoint", schema)
+    named = saved(_named(schema), "entities")
+    own = at_hand(named.withColumnRenamed("home", "level").withColumnRenamed("path", "_path"))
+    wanted = F.col("title_rel").isNull() | text_at(F.col("_node"), F.col("title_rel")).isNotNull()
+    found = rows.join(own, ["_group", "level"]).where(wanted).select(
+        "_id", "entity", "_group", "parent_path", F.get(F.filter("_up", lambda u: u["level"] == F.col("up")), F.lit(0))["sk"].alias("_sk"), text_at(F.col("_node"), F.col("rel")).alias("child_id")
+    ).where(F.col("child_id").isNotNull() & ((F.col("entity") == "menu_title") | F.col("child_id").rlike("^[0-9]+$")))
+    above = at_hand(saved(named.where("parent_path <> ''").select("_group", F.col("up").alias("level"), "parent_path", "parent_rel").distinct(), "parents"))
+    parents = rows.join(above, ["_group", "level"]).select("_id", "_group", "parent_path", "_sk", number(text_at(F.col("_node"), F.col("parent_rel"))).alias("parent_id")).where("parent_id is not null")
+    below = found.where("parent_path <> ''").join(parents, ["_id", "_group", "parent_path", "_sk"])
+    first = found.where("parent_path = ''").withColumn("parent_id", F.lit(""))
+    columns = [F.col("_id.payload_id").alias("payload_id"), "entity", "parent_id", "child_id"]
+    return below.select(*columns).unionByName(first.select(*columns)).distinct()
+
+
+def flat_values(payloads: DataFrame) -> DataFrame:
+    """(payload_id, record, level, sk, parent_sk, ordinal, name, value): every scalar of every payload as a flat row with its parent link."""
+    docs = readable(payloads)
+    schema = saved(merged_schema(docs, "doc", "endpoint"), "schema")
+    own = values(exploded(docs.withColumn("_id", F.struct("_record", "payload_id")), "_id", "doc", "endpoint", schema), "_id", schema)
+    return own.select("_id.payload_id", F.col("_id._record").alias("record"), "level", F.col("_sk").alias("sk"), F.col("_parent_sk").alias("parent_sk"), F.col("_ordinal").alias("ordinal"), "name", "value")
