@@ -140,7 +140,7 @@ def exploded(records: DataFrame, key: str, variant: str, group: str | None = Non
     """
     schema = merged_schema(records, variant, group) if schema is None else schema
     levels = saved(array_levels(schema), "levels")
-    deepest = levels.agg(F.max("depth")).first()[0] or 0
+    deepest, n_levels = levels.agg(F.coalesce(F.max("depth"), F.lit(0)), F.count("*")).first()
     own = F.coalesce(F.col(group).cast("string"), F.lit("")) if group else F.lit("")
     root = F.struct(F.lit("").alias("level"), F.lit("$").alias("sk"))
     rows = records.where(F.col(variant).isNotNull()).select(
@@ -148,7 +148,7 @@ def exploded(records: DataFrame, key: str, variant: str, group: str | None = Non
     )
     found = [rows]
     for depth in range(1, deepest + 1):
-        own_levels = at_hand(levels.where(F.col("depth") == depth).withColumnRenamed("level", "_level"))
+        own_levels = at_hand(levels.where(F.col("depth") == depth).withColumnRenamed("level", "_level"), n_levels)
         met = rows.join(own_levels, (rows["_group"] == own_levels["_group"]) & (rows["level"] == own_levels["_above"])).drop(own_levels["_group"])
         each = met.select(key, "_group", F.col("_level").alias("level"), F.col("_sk").alias("_parent_sk"), "_inner", "_up", F.posexplode(elements(F.try_variant_get("_node", F.col("_inner"), "variant"))).alias("_ordinal", "_node"))
         sk = F.concat("_parent_sk", F.substring("_inner", 2, 1_000_000), F.lit("["), F.col("_ordinal").cast("string"), F.lit("]"))

@@ -64,13 +64,13 @@ def children(payloads: DataFrame) -> DataFrame:
     docs = readable(payloads)
     schema = saved(merged_schema(docs, "doc", "endpoint"), "schema")
     rows = exploded(docs.withColumn("_id", F.struct("_record", "payload_id")), "_id", "doc", "endpoint", schema)
-    named = saved(_named(schema), "entities")
-    own = at_hand(named.withColumnRenamed("home", "level").withColumnRenamed("path", "_path"))
+    named, n = saved(_named(schema), "entities"), schema.count()
+    own = at_hand(named.withColumnRenamed("home", "level").withColumnRenamed("path", "_path"), n)
     wanted = F.col("title_rel").isNull() | text_at(F.col("_node"), F.col("title_rel")).isNotNull()
     found = rows.join(own, ["_group", "level"]).where(wanted).select(
         "_id", "entity", "_group", "parent_path", F.get(F.filter("_up", lambda u: u["level"] == F.col("up")), F.lit(0))["sk"].alias("_sk"), text_at(F.col("_node"), F.col("rel")).alias("child_id")
     ).where(F.col("child_id").isNotNull() & ((F.col("entity") == "menu_title") | F.col("child_id").rlike("^[0-9]+$")))
-    above = at_hand(saved(named.where("parent_path <> ''").select("_group", F.col("up").alias("level"), "parent_path", "parent_rel").distinct(), "parents"))
+    above = at_hand(named.where("parent_path <> ''").select("_group", F.col("up").alias("level"), "parent_path", "parent_rel").distinct(), n)
     parents = rows.join(above, ["_group", "level"]).select("_id", "_group", "parent_path", "_sk", number(text_at(F.col("_node"), F.col("parent_rel"))).alias("parent_id")).where("parent_id is not null")
     below = found.where("parent_path <> ''").join(parents, ["_id", "_group", "parent_path", "_sk"])
     first = found.where("parent_path = ''").withColumn("parent_id", F.lit(""))
