@@ -5,7 +5,6 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,11 +18,8 @@ MONEY = r"\$[0-9][0-9,]*(?:\.[0-9]+)?|[0-9][0-9,]*(?:\.[0-9]+)? USDT"
 BLANK = r"[\s\x1c-\x1f]"
 AMOUNTS = rf"(?iuU)[$€¥]{BLANK}?[\d,.]+(?:{BLANK}?[KM])?|[\d,.]+{BLANK}?(?:USDT|USDC|BTC|ETH|WXT|STABLE|EDGE)"
 
-# ---- fixed values: stand-in for no title; tags and marks of parts that are no text, tags that end a line
+# ---- fixed values: stand-in for no title, words that are no terms
 UNTITLED = "(无标题)"
-DROPPED = "script style nav header footer noscript iframe form button svg object embed".split()
-NOISE = "nav footer disclaimer cookie breadcrumb sidebar social-share site-menu".split()
-BLOCKS = "p div section article ul ol li table tr h1 h2 h3 h4 h5 h6 br blockquote pre hr".split()
 #: Words that are no terms: grammar, and words that any announcement may have.
 STOP = """
 a an and are as at be by can for from has have in into is it its may more no not of on or per than that the their then
@@ -31,7 +27,6 @@ there this to up use used using via was were will with without you your users us
 features platform service services account accounts available support supports supported new now official officially
 launch launches live update updates please click also
 """.split()
-EMPTY = "br hr img input meta link area base col embed source track wbr".split()
 # -------------------------------------------------------------------------------------------------
 
 
@@ -99,51 +94,3 @@ def slug(url: Column) -> Column:
     """What follows /announcements/ in a URL, without query, fragment and outer slashes; null where there is none."""
     found = F.regexp_replace(F.regexp_extract(url, "/announcements/([^?#]+)", 1), "^/+|/+$", "")
     return F.when(found != "", found)
-
-
-class _Text(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.out: list[str] = []
-        self.skipped: list[str] = []
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        marks = " ".join(v or "" for k, v in attrs if k in ("class", "id")).lower()
-        if self.skipped or tag in DROPPED or any(n in marks for n in NOISE):
-            if tag not in EMPTY:
-                self.skipped.append(tag)
-        elif tag in BLOCKS:
-            self.out.append("\n")
-        elif tag in ("td", "th"):
-            self.out.append("\t")
-
-    def handle_endtag(self, tag: str) -> None:
-        if self.skipped:
-            if tag in self.skipped:
-                while self.skipped.pop() != tag:
-                    pass
-        elif tag in BLOCKS:
-            self.out.append("\n")
-
-    def handle_data(self, data: str) -> None:
-        if not self.skipped:
-            self.out.append(data)
-
-
-def page_text(page: str | None) -> str:
-    """The readable text of an HTML page or fragment: lines by block, cells by tab; '' for null."""
-    parser = _Text()
-    try:
-        parser.feed(page or "")
-        parser.close()
-        text = "".join(parser.out)
-    except (AssertionError, ValueError):
-        text = html.unescape(re.sub(r"<[^>]*>", " ", page or ""))
-    lines = (re.sub(r"[^\S\t\n]+", " ", line).strip() for line in text.split("\n"))
-    return "\n".join(line for line in lines if line)
-
-
-@F.pandas_udf(StringType())
-def html_text(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for page in pages:
-        yield page.map(page_text)

@@ -1,7 +1,8 @@
 """Copies, language groups and batches of announcements.
 
-Groups are reduced with aggregates that combine before the shuffle, and their results are joined back:
-a group that holds a third of all rows costs no task more than another.
+Groups are reduced with aggregates that combine before the shuffle. Where results are joined back, only those of groups
+to which something applies are, and they are broadcast up to a checked number; beyond it the join shuffles the rows by
+group, and a group that holds a large part of them is split at run time by the engine's skew join (adaptive execution).
 """
 
 from __future__ import annotations
@@ -9,18 +10,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import at_hand
+
 
 def duplicates(rows: DataFrame, key: str, same: list[str], order: Column) -> DataFrame:
     """(key, duplicate_of): rows equal in `same`, all non-empty, point to the first of them by (order, key)."""
     filled = rows.where(" and ".join(f"`{c}` is not null and `{c}` <> ''" for c in same)).select(key, *same, order.alias("_o")).distinct()
     firsts = filled.groupBy(*same).agg(F.min(F.struct("_o", key)).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    return filled.join(firsts, same).where(F.col(key) != F.col(f"_first.{key}")).select(key, F.col(f"_first.{key}").alias("duplicate_of")).distinct()
+    return filled.join(at_hand(firsts), same).where(F.col(key) != F.col(f"_first.{key}")).select(key, F.col(f"_first.{key}").alias("duplicate_of")).distinct()
 
 
 def conflicting(rows: DataFrame, by: list[str], value: str) -> DataFrame:
-    """(by, n, found): keys with more than one distinct non-null value, joined in order by commas."""
-    found = rows.where(F.col(value).isNotNull()).groupBy(*by).agg(F.sort_array(F.collect_set(value)).alias("_v"))
-    return found.where(F.size("_v") > 1).select(*by, F.size("_v").cast("long").alias("n"), F.array_join("_v", ",").alias("found"))
+    """(by, value, n): the distinct non-null values, a row each, of the keys that have more than one; n is their number."""
+    pairs = rows.where(F.col(value).isNotNull()).select(*by, value).distinct()
+    several = pairs.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1")
+    return pairs.alias("p").join(at_hand(several).alias("s"), [F.col(f"p.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by]).select(*[f"p.{c}" for c in by], f"p.{value}", "s.n")
 
 
 def region_exclusive(rows: DataFrame, group: str, locale: str, common: str = "EN") -> DataFrame:
@@ -43,7 +47,7 @@ def counted_once(rows: DataFrame, key: str, group: str, source: str, locale: str
     head = F.struct("_o", key, source, locale, "_t")
     firsts = own.groupBy("_g").agg(F.min(head).alias("_f")).select("_f.*")
     leaders = firsts.groupBy(source, "_t").agg(F.min(F.struct("_o", key, locale)).alias("_l"))
-    kept = firsts.join(leaders, [source, "_t"]).where((F.col(key) == F.col(f"_l.{key}")) | F.col(locale).eqNullSafe(F.col(f"_l.{locale}")))
+    kept = firsts.join(at_hand(leaders), [source, "_t"]).where((F.col(key) == F.col(f"_l.{key}")) | F.col(locale).eqNullSafe(F.col(f"_l.{locale}")))
     return kept.select(key)
 
 
@@ -79,4 +83,5 @@ def top_capped(rows: DataFrame, order: list[Column], per: str, most_per: int, mo
 def round_robin(rows: DataFrame, by: list[str], order: list[Column], per: int) -> DataFrame:
     """The first `per` rows of each group by `order`, with their depth from 0: taken in order of depth they cover all groups first."""
     ranked = Window.partitionBy(*by).orderBy(*order)
-    return rows.withColumn("depth", F.row_number().over(ranked) - 1).where(F.col("depth") < per)
+    # the filter is on the rank itself, so that each task hands on `per` rows of a group only
+    return rows.withColumn("_rank", F.row_number().over(ranked)).where(F.col("_rank") <= per).withColumn("depth", F.col("_rank") - 1).drop("_rank")

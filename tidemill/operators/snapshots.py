@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import at_hand
+
 
 def tidy(value: Column) -> Column:
     """Trimmed and lower-cased; null and empty are equal."""
@@ -33,7 +35,7 @@ def changes(
     empty table. Other columns are not read, whatever their names.
 
     Repeats collapse before the shuffle (partial aggregation), so no key keeps more rows than there
-    are snapshots. Only the distinct snapshot dates, one row per delivery, are broadcast.
+    are snapshots. The distinct snapshots, one row per delivery, are broadcast up to a checked number.
     """
     state = F.md5(F.to_json(F.array(*[tidy(F.col(c)) for c in compared])))
     rows = snapshots.select(
@@ -46,7 +48,7 @@ def changes(
         .distinct()
         .select("_at", F.row_number().over(Window.orderBy("_at")).alias("_i"), F.lead("_at").over(Window.orderBy("_at")).alias("_next"))
     )
-    indexed = states.join(F.broadcast(dates), "_at")
+    indexed = states.join(at_hand(dates), "_at")
     by_key = Window.partitionBy("_key").orderBy("_i")
     seen = indexed.select(
         "*",

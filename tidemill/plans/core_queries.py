@@ -39,13 +39,24 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return H.history(table(spark, folder, "content_history"), "uid", "captured_at", "id", ["content"])
 
 
+def p4_by_order(spark: SparkSession, folder: str) -> DataFrame:
+    """As p4_found, where the clocks of every other source aren't known: the order of their records decides."""
+    clocks = table(spark, folder, "source_clocks").where("pmod(xxhash64(source), 2) = 0")
+    return utc_times(table(spark, folder, "announcements"), clocks)
+
+
+def p5_combined(spark: SparkSession, folder: str) -> DataFrame:
+    """The versions of content and content_hash together: their logs split at the union of boundaries and coalesced."""
+    return H.history(table(spark, folder, "content_history"), "uid", "captured_at", "id", ["content", "content_hash"])
+
+
 def p5_attribute_intervals(spark: SparkSession, folder: str) -> DataFrame:
     log = H.change_log(table(spark, folder, "content_history"), "uid", "captured_at", "id", ["content", "content_hash"])
     return H.attribute_intervals(log, "uid").select("uid", "attribute", "valid_from", "valid_to")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_flat, p4_found, p5_found, p5_attribute_intervals)
+    f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_flat, p4_found, p4_by_order, p5_found, p5_combined, p5_attribute_intervals)
 }
 
 _P1 = """
@@ -84,5 +95,6 @@ SQL: dict[str, str] = {
     "p1_found": _P1 + "select * from found where change_kind is not null",
     "p1_counts": _P1 + "select snapshot_date, change_kind, count(*) n from found where change_kind is not null group by all",
     "p5_found": _P5.format(value="coalesce(content, '')", more=""),
+    "p5_combined": _P5.format(value="(coalesce(content, ''), coalesce(content_hash, ''))", more=""),
     "p5_attribute_intervals": f"select * from ({_p5('content')}) union all select * from ({_p5('content_hash')})",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import keys, texts
 from tidemill.operators import classify, groups, ingest, ranges, retrieval
 from tidemill.plans.clocks import with_instants
+from tidemill.session import at_hand
 from tidemill.sources.landing import since
 from tidemill.sources.tables import table
 
@@ -50,14 +51,18 @@ def key_check(spark: SparkSession, folder: str) -> DataFrame:
     return a.select("uid", (uid == F.col("uid")).alias("uid_ok"), (keys.content_hash(F.col("content")) == F.col("content_hash")).alias("hash_ok"))
 
 
+_HALF = "('0x' || substr(md5(content_hash), {}, 15))::bigint"
+
+
 @query(
-    f"{_ONE} select {_DAY} batch_day, source, locale, count(distinct uid) n, sha256(string_agg(content_hash, '' order by content_hash)) fingerprint "
-    "from a where content_hash is not null and fetched_at is not null group by all"
+    f"{_ONE}, h as (select {_DAY} batch_day, source, locale, uid, {_HALF.format(1)} a, {_HALF.format(16)} b from a where content_hash is not null and fetched_at is not null) "
+    "select batch_day, source, locale, count(distinct uid) n, bit_xor(a) fingerprint_a, bit_xor(b) fingerprint_b from h group by all"
 )
 def batch_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """A fingerprint of the set of hashes of each batch that needs no order: nothing is collected."""
     a = _announcements(spark, folder, "source", "locale", "content_hash", "fetched_at").where("content_hash is not null and fetched_at is not null")
-    own = a.groupBy(_day().alias("batch_day"), "source", "locale").agg(F.count_distinct("uid").alias("n"), F.collect_list("content_hash").alias("_h"))
-    return own.select("batch_day", "source", "locale", "n", keys.set_fingerprint(F.col("_h")).alias("fingerprint"))
+    halves = [F.bit_xor(F.conv(F.substring(F.md5("content_hash"), at, 15), 16, 10).cast("long")).alias(f"fingerprint_{n}") for n, at in (("a", 1), ("b", 16))]
+    return a.groupBy(_day().alias("batch_day"), "source", "locale").agg(F.count_distinct("uid").alias("n"), *halves)
 
 
 @query(
@@ -105,11 +110,6 @@ def sentence_counts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").where("text is not null").select("doc_id", F.size(texts.sentences(F.col("text"))).cast("long").alias("n_sentences"))
 
 
-@query()
-def page_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", texts.html_text("text").alias("text"))
-
-
 @query("select event_type, cast(json_extract(props, '$.k') as bigint) k, count(*) n, count(distinct user_id) n_users from events group by all")
 def event_props(spark: SparkSession, folder: str) -> DataFrame:
     own = table(spark, folder, "events").select("event_type", "user_id", F.from_json("props", "k long")["k"].alias("k"))
@@ -141,8 +141,8 @@ def exact_duplicates_by_instant(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"{_ONE} select source, raw_category, count(distinct group_id) n, string_agg(distinct group_id, ',' order by group_id) found from a "
-    "where group_id is not null group by all having count(distinct group_id) > 1"
+    f"{_ONE}, p as (select distinct source, raw_category, group_id from a where group_id is not null) "
+    "select source, raw_category, group_id, count(*) over (partition by source, raw_category) n from p qualify n > 1"
 )
 def groups_by_section(spark: SparkSession, folder: str) -> DataFrame:
     return groups.conflicting(_announcements(spark, folder, "source", "raw_category", "group_id"), ["source", "raw_category"], "group_id")
@@ -165,8 +165,8 @@ def group_locales(spark: SparkSession, folder: str) -> DataFrame:
 )
 def region_exclusive_rows(spark: SparkSession, folder: str) -> DataFrame:
     a = _announcements(spark, folder, "group_id", "locale")
-    flags = groups.region_exclusive(a, "group_id", "locale")
-    return a.join(flags, "group_id", "left").select("uid", F.coalesce("exclusive", F.lit(False)).alias("exclusive")).distinct()
+    flags = groups.region_exclusive(a, "group_id", "locale").where("exclusive")  # the others are false
+    return a.join(at_hand(flags), "group_id", "left").select("uid", F.coalesce("exclusive", F.lit(False)).alias("exclusive")).distinct()
 
 
 @query(
