@@ -131,15 +131,15 @@ def locale_counterparts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    f"{_ONE}, h as (select uid, id, content_hash, lag(content_hash) over (partition by uid order by id) before from (select distinct uid, id, content_hash from content_history where uid is not null and id is not null)), "
-    "l as (select uid, max_by(content_hash, id) old_hash, max_by(before, id) older_hash, max(id) id from h group by uid) "
-    "select distinct a.uid, content_hash, old_hash, older_hash from a left join l on a.uid = l.uid where lower(trim(status)) = 'changed'"
+    f"{_ONE}, h as (select uid, content_hash, row_number() over (partition by uid order by id desc, coalesce(content_hash, '') desc) r from (select distinct uid, id, content_hash from content_history where uid is not null and id is not null)), "
+    "o as (select uid, content_hash old_hash from h where r = 1), p as (select uid, content_hash older_hash from h where r = 2) "
+    "select distinct a.uid, content_hash, old_hash, older_hash from a left join o on a.uid = o.uid left join p on a.uid = p.uid where lower(trim(status)) = 'changed'"
 )
 def changed_with_previous(spark: SparkSession, folder: str) -> DataFrame:
     """A changed row with the last version in its archive and the one before: the two last of each key, without ordering all of a key's versions."""
     a = R._announcements(spark, folder, "status", "content_hash").where(F.lower(F.trim("status")) == "changed").select("uid", "content_hash").distinct()
     h = table(spark, folder, "content_history").where("uid is not null and id is not null").select("uid", "id", "content_hash").distinct()
-    two = filters.first_rows(h, ["uid"], [F.desc("id")], 2).groupBy("uid").agg(
+    two = filters.first_rows(h, ["uid"], [F.desc("id"), F.desc_nulls_last("content_hash")], 2).groupBy("uid").agg(
         F.max(F.when(F.col("rank") == 1, F.struct("content_hash")))["content_hash"].alias("old_hash"), F.max(F.when(F.col("rank") == 2, F.struct("content_hash")))["content_hash"].alias("older_hash")
     )
     return a.join(two, "uid", "left")
