@@ -344,11 +344,11 @@ class Forest:
             met = near.join(entries.alias("n"), (F.col("n.d1") == F.col("o.a1")) & (F.col("n.d2").bitwiseXOR(F.col("o.a2")) == 0))
             links.append(met.select("o.a1", "o.a2", F.col("o.b1").alias("d1"), F.col("o.b2").alias("d2")))
         # of the members, only those of the batch's entries and of entries near them go on
-        theirs = self._everyone().distinct().withColumnRenamed("uid", "_v")
-        found = mine.join(theirs.join(entries, ["d1", "d2"], "left_semi"), ["d1", "d2"]).select("_u", "_v")
+        theirs = self._everyone().withColumnRenamed("uid", "_v")
+        found = mine.join(theirs.join(entries, ["d1", "d2"], "left_semi").distinct(), ["d1", "d2"]).select("_u", "_v")
         if links:
             near = at_hand(saved(reduce(DataFrame.unionByName, links).distinct(), "links"))
-            others = theirs.join(near, ["d1", "d2"]).select("_v", F.col("a1").alias("d1"), F.col("a2").alias("d2"))
+            others = theirs.join(near, ["d1", "d2"]).select("_v", F.col("a1").alias("d1"), F.col("a2").alias("d2")).distinct()
             found = found.unionByName(others.join(mine, ["d1", "d2"]).select("_u", "_v"))
         return (
             found.where("_u <> _v")
