@@ -3,9 +3,9 @@
 Method: a prefix-tree hash forest. Each text has TREES labels, each of DEPTH min-hash values of its word
 runs. A store keeps, for each accepted batch, a run: the sorted labels, the texts' plain words and the near
 pairs found. Labels are searched by range: the entries of a new batch meet those whose label lies between
-their own prefix's least and greatest label. The search begins with whole labels and the prefix is widened
-value by value until the chance to find a pair at the threshold reaches the recall target; what each widening
-adds is verified on the words themselves. When there are many runs the small ones are merged.
+their own prefix's least and greatest label. Beginning with whole labels the prefix is widened value by value
+until the chance to find a pair at the threshold reaches the recall target; what lies in its range is verified
+on the words themselves. When there are many runs the small ones are merged.
 
 Of history a batch reads the runs' labels and identities, and the words of candidates only, from those parts
 of the runs that hold some; texts of earlier batches aren't asked for again. The store is a folder: another
@@ -286,23 +286,26 @@ class Forest:
             texts.append(self._texts(r).where(F.col("seg").isin(parts[r["name"]])).join(at_hand(own), "row", "left_semi").select("d1", "d2", "words"))
         return reduce(DataFrame.unionByName, texts)
 
+    def _widened(self) -> int:
+        """Values of the prefix by which labels are searched: whole labels at first, then fewer, until the recall target is reached."""
+        depth = DEPTH
+        while not self.exact and chance(self.threshold, depth) < self.recall:
+            depth -= 1
+        return depth
+
     def _searched(self, own: dict) -> list[DataFrame]:
-        """Tables (a1, a2, b1, b2), one for each widening that found candidates: the near pairs of an entry of the run `own` and any other; the prefix is widened until the recall target is reached."""
-        near, checked = [], []
-        for depth in [DEPTH] if self.exact else range(DEPTH, BRANCH - 1, -1):
-            pairs = reduce(DataFrame.unionByName, (self._in_range(own, r, depth) for r in self.note["runs"])).distinct()
-            for earlier in checked:
-                pairs = pairs.join(earlier, ["a1", "b1"], "left_anti")
-            pairs = saved(pairs, "candidates")
-            if not pairs.isEmpty():
-                checked.append(pairs)
-                wanted = pairs.select(F.explode(F.array("a1", "b1")).alias("d1")).distinct()
-                words = saved(self._words_of(wanted), "words")
-                a, b = (words.select(F.col("d1").alias(f"{s}1"), F.col("d2").alias(f"{s}2"), F.col("words").alias(f"words_{s}")) for s in "ab")
-                near.append(saved(common_runs(pairs.join(a, "a1").join(b, "b1"), self.run_words, self.percent), "verified"))
-            if self.exact or chance(self.threshold, depth) >= self.recall:
-                break
-        return near
+        """Tables (a1, a2, b1, b2), none where there are no candidates: the near pairs of an entry of the run `own` and any other.
+
+        The range of a widened prefix holds those of the longer ones, so each run's labels are met once, in the widest.
+        """
+        depth = self._widened()
+        pairs = saved(reduce(DataFrame.unionByName, (self._in_range(own, r, depth) for r in self.note["runs"])).distinct(), "candidates")
+        if pairs.isEmpty():
+            return []
+        wanted = pairs.select(F.explode(F.array("a1", "b1")).alias("d1")).distinct()
+        words = saved(self._words_of(wanted), "words")
+        a, b = (words.select(F.col("d1").alias(f"{s}1"), F.col("d2").alias(f"{s}2"), F.col("words").alias(f"words_{s}")) for s in "ab")
+        return [saved(common_runs(pairs.join(a, "a1").join(b, "b1"), self.run_words, self.percent), "verified")]
 
     def add(self, batch: DataFrame, name: str | None = None) -> DataFrame:
         """(uid_a, uid_b), uid_a < uid_b: the batch's texts that repeat one another or one accepted before.
