@@ -38,6 +38,8 @@ BITS = 16
 #: Pairs at the threshold whose min-hash values agree, at two bits, this many standard deviations less than expected aren't
 #: verified: about 2 of 10,000 pairs exactly at the threshold, far fewer above it. exact=True leaves this out.
 SKETCH_DEVIATIONS = 3.5
+#: Bytes of text signed at once, few enough for a core's cache.
+PIECE = 1_000_000
 #: Entries of a branch from which its pairs are spread over several tasks.
 HOT_BRANCH = 2_000
 
@@ -99,7 +101,7 @@ def signed(texts: DataFrame, run_words: int, exact_percent: int | None = None) -
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE):
             words = [plain_words(t) for t in batch.column("text").to_pylist()]
             values, counts = runs(*hashed(words), run_words)
             own = np.flatnonzero(counts)
@@ -110,12 +112,14 @@ def signed(texts: DataFrame, run_words: int, exact_percent: int | None = None) -
             chain = batch.column("chain").to_numpy().view(np.uint64)[own]
             d1 = mixed(np.add.reduceat(mixed(values + place * np.uint64(0xD6E8FEB86659FD93)), starts) + chain)
             d2 = mixed(np.add.reduceat(mixed(values ^ mixed(place + np.uint64(7))), starts) ^ mixed(chain))
-            distinct = [np.unique(v) for v in np.split(values, starts[1:])]
-            n = np.array([len(v) for v in distinct], np.int32)
             if exact_percent is None:
+                each, ends = values.tolist(), np.r_[starts, len(values)]
+                n = np.array([len(set(each[a:b])) for a, b in zip(ends, ends[1:])], np.int32)
                 labels, s1, s2 = _tree_labels(values, starts)
                 ends, flat = np.arange(0, len(own) * TREES + 1, TREES, dtype=np.int32), labels.ravel()
             else:
+                distinct = [np.unique(v) for v in np.split(values, starts[1:])]
+                n = np.array([len(v) for v in distinct], np.int32)
                 tokens = [v[: len(v) - -(-len(v) * exact_percent // 100) + 1] for v in distinct]
                 ends, flat = np.r_[0, np.cumsum([len(t) for t in tokens])].astype(np.int32), np.concatenate(tokens)
                 s1 = s2 = np.zeros(len(own), np.uint64)
