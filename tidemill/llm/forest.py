@@ -309,7 +309,7 @@ class Forest:
         wanted = pairs.select(F.explode(F.array("a1", "b1")).alias("d1")).distinct()
         words = saved(self._words_of(wanted), "words")
         a, b = (words.select(F.col("d1").alias(f"{s}1"), F.col("d2").alias(f"{s}2"), F.col("words").alias(f"words_{s}")) for s in "ab")
-        return [saved(common_runs(pairs.join(a, "a1").join(b, "b1"), self.run_words, self.percent), "verified")]
+        return [common_runs(pairs.join(a, "a1").join(b, "b1"), self.run_words, self.percent)]
 
     def add(self, batch: DataFrame, name: str | None = None) -> DataFrame:
         """(uid_a, uid_b), uid_a < uid_b: the batch's texts that repeat one another or one accepted before.
@@ -327,7 +327,8 @@ class Forest:
         try:
             if near := self._searched(run):
                 near = reduce(DataFrame.unionByName, near)
-                both = near.unionByName(near.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
+                turned = F.struct(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2"))
+                both = near.select(F.explode(F.array(F.struct("a1", "a2", "b1", "b2"), turned)).alias("_p")).select("_p.*")
                 self._laid(both, run, "near", run["entries"])
                 run["near"] = True
             self._pairs(run).write.parquet(f"{self.path}/{run['name']}_pairs")
